@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 from flowgauge.functions.measures import band, grouped, ratio, two_decimals
@@ -19,7 +20,11 @@ from flowgauge.params import (
 )
 
 ALL = "ALL"
-_whole = W.partitionBy()
+
+
+def _whole() -> WindowSpec:
+    """All rows of an already counted table."""
+    return W.partitionBy()
 
 
 def selected(choice: str | None, label: str = "label") -> Column:
@@ -60,7 +65,7 @@ def worst_class(per_class: DataFrame) -> DataFrame:
 
 def volume_bands(counts: DataFrame, params: ReportParams, choice: str | None = None) -> DataFrame:
     """Attack volume, smallest first, banded by its share of the largest."""
-    share = ratio(F.col("count"), F.max("count").over(_whole))
+    share = ratio(F.col("count"), F.max("count").over(_whole()))
     return (
         counts.filter(F.col("label") != params.benign)
         .withColumn("share", share)
@@ -82,7 +87,7 @@ def metric_bands(per_class: DataFrame, params: ReportParams, metric: str = "f1",
         value.alias("value"),
         band(value, SCORE_BANDS, SCORE_REST, inclusive=True).alias("band"),
         (value < params.target_score).alias("below_target"),
-        F.greatest(F.lit(0.0), F.min(value).over(_whole) - params.axis_margin).alias("axis_floor"),
+        F.greatest(F.lit(0.0), F.min(value).over(_whole()) - params.axis_margin).alias("axis_floor"),
         selected(choice).alias("selected"),
     ).orderBy("value", "label")
 
@@ -91,7 +96,7 @@ def pr_points(per_class: DataFrame, counts: DataFrame, params: ReportParams, cho
     """Precision and recall points with volume, marker size and target zone."""
     volume = F.coalesce(F.col("count"), F.lit(params.default_volume).cast("bigint"))
     joined = per_class.join(counts.select("label", "count"), "label", "left").withColumn("volume", volume)
-    size = params.min_point + params.point_range * ratio(F.col("volume"), F.max("volume").over(_whole))
+    size = params.min_point + params.point_range * ratio(F.col("volume"), F.max("volume").over(_whole()))
     target = params.target_score
     return joined.select(
         "label",

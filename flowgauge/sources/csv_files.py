@@ -57,6 +57,30 @@ def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
     Spark lists the files; each task opens only the first line of its share.
     """
+
+    # Local functions travel to the tasks by value, so executors need no copy
+    # of this package.
+    def first_line(name: str) -> str:
+        from pyarrow import fs
+
+        parts = urlparse(name)
+        if parts.scheme in ("", "file"):
+            store, inside = fs.LocalFileSystem(), unquote(parts.path)
+        else:
+            store, inside = fs.FileSystem.from_uri(name)
+        line = b""
+        with store.open_input_stream(inside) as stream:
+            while b"\n" not in line:
+                more = stream.read(4096)
+                if not more:
+                    break
+                line += more
+        return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
+
+    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(header=[first_line(p) for p in batch["path"]])
+
     listed = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -64,33 +88,10 @@ def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         .load(path if isinstance(path, str) else list(path))
         .select("path")
     )
-    headers = listed.mapInPandas(_first_lines, "path string, header string")
+    headers = listed.mapInPandas(first_lines, "path string, header string")
     return headers.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
 
 
-def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield batch.assign(header=[_first_line(p) for p in batch["path"]])
-
-
-def _first_line(path: str) -> str:
-    from pyarrow import fs
-
-    parts = urlparse(path)
-    if parts.scheme in ("", "file"):
-        store, inside = fs.LocalFileSystem(), unquote(parts.path)
-    else:
-        store, inside = fs.FileSystem.from_uri(path)
-    line = b""
-    with store.open_input_stream(inside) as stream:
-        while b"\n" not in line:
-            more = stream.read(4096)
-            if not more:
-                break
-            line += more
-    return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-
-
 def read_by_name(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None
 ) -> DataFrame:
