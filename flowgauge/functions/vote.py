@@ -1,36 +1,32 @@
-"""Majority vote over prediction columns."""
+"""Majority vote over an array of predictions."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def majority_vote(members: Sequence[Column]) -> Column:
-    """Most frequent non-null member; a tie goes to the earlier member.
+def majority_of(votes: Column, members: int) -> Column:
+    """Most frequent non-null entry of `votes`; a tie goes to the earlier entry.
 
-    0.0 when every member is null. Most rows are near-unanimous, so the first
-    member is compared with the others before the full count is made. The full
-    count uses array functions that stay in generated code; lambda functions
-    would be interpreted and are several times slower.
+    0.0 when every entry is null. Most rows are near-unanimous, so the first
+    entry is tried alone: if it has more than half of all votes, it wins.
+    `votes` should be a column, not an expression, as it is read several times.
     """
-    first = members[0]
-    agreeing = reduce(add, [F.coalesce(m == first, F.lit(False)).cast("int") for m in members])
-    votes = F.array(*members)
-    counted = [
-        F.when(
-            m.isNotNull(),
-            F.struct(
-                (-F.array_size(F.array_remove(votes, m))).alias("others"),
-                F.lit(-place).alias("place"),
-                m.alias("choice"),
+    first = votes[0]
+    best = F.array_max(
+        F.transform(
+            votes,
+            lambda vote, place: F.when(
+                vote.isNotNull(),
+                F.struct((-_others(votes, vote)).alias("others"), (-place).alias("place"), vote.alias("choice")),
             ),
         )
-        for place, m in enumerate(members)
-    ]
-    full = F.array_max(F.array(*counted))["choice"]
-    return F.when(2 * agreeing > len(members), first).otherwise(F.coalesce(full, F.lit(0.0)))
+    )
+    counted = F.coalesce(best["choice"], F.lit(0.0))
+    return F.when(2 * _others(votes, first) < members, first).otherwise(counted)
+
+
+def _others(votes: Column, vote: Column) -> Column:
+    """Entries that differ from the vote; null for a null vote."""
+    return F.array_size(F.array_remove(votes, vote))

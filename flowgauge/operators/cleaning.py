@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -71,9 +73,20 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
 
 
 def clean(df: DataFrame, params: CleanParams, keep: Sequence[str] = ()) -> DataFrame:
-    """Drop columns, cast, null the infinities, drop incomplete rows."""
-    narrow = drop_columns(df, params, keep)
-    return drop_incomplete(infinite_to_null(cast_to_double(narrow, params.cast_columns)))
+    """Drop columns, cast, null the infinities, drop incomplete rows.
+
+    A row with an infinity is dropped once that is null, so one filter on finite
+    values does both steps and parses each text once less.
+    """
+    cast = cast_to_double(drop_columns(df, params, keep), params.cast_columns)
+    return cast.filter(reduce(and_, [_is_complete(f) for f in cast.schema.fields]))
+
+
+def _is_complete(field: T.StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    real = isinstance(field.dataType, (T.DoubleType, T.FloatType))
+    # NaN sorts above infinity, so one comparison leaves out both and null.
+    return F.abs(value) < float("inf") if real else value.isNotNull()
 
 
 def feature_columns(df: DataFrame, *others: str) -> list[str]:

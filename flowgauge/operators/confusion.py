@@ -7,8 +7,6 @@ its k x k rows instead of one pass per measure.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -161,34 +159,3 @@ def member_scores(scored: DataFrame, members: Sequence[str], vote: str = "final_
     worst = F.min(F.when(F.col("model") != vote, F.col("f1_score"))).over(W.partitionBy())
     gain = (F.col("f1_score") - worst) * 100.0
     return scores.select("model", "f1_score", F.when(F.col("model") == vote, gain).alias("gain_points"))
-
-
-def line_up_votes(members: Sequence[DataFrame], key: str, prediction: str = "prediction") -> DataFrame:
-    """Predictions of separately scored members as columns pred_0.. per row key.
-
-    One shuffle for all members instead of a chain of joins. A key that some
-    member has not scored is left out, as in an inner join.
-    """
-    long = reduce(
-        lambda a, b: a.unionByName(b),
-        [
-            m.select(F.col(key), F.lit(i).alias("model"), F.col(prediction).alias("pred"))
-            for i, m in enumerate(members)
-        ],
-    )
-    return votes_wide(long, key, len(members))
-
-
-def votes_wide(long: DataFrame, key: str, members: int) -> DataFrame:
-    """(key, model, pred) rows as one row per key with pred_0.. columns."""
-    models = range(members)
-    scored = [F.count_if(F.col("model") == i).alias(f"seen_{i}") for i in models]
-    picked = [F.max(F.when(F.col("model") == i, F.col("pred"))).alias(f"pred_{i}") for i in models]
-    lined = long.groupBy(key).agg(*picked, *scored)
-    complete = reduce(lambda a, b: a & b, [F.col(f"seen_{i}") > 0 for i in models])
-    return lined.filter(complete).select(key, *[f"pred_{i}" for i in models])
-
-
-def agreement(votes: Sequence[Column], choice: Column) -> Column:
-    """Members that agree with the choice."""
-    return reduce(add, [F.coalesce(v == choice, F.lit(False)).cast("bigint") for v in votes])

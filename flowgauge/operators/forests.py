@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
@@ -12,15 +14,27 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.functions.vote import majority_vote
 from flowgauge.operators.sampling import with_fold
+from flowgauge.operators.voting import with_vote
 from flowgauge.params import TrainParams
 from flowgauge.sources.scratch import written
 
 LABEL, INDEX, FEATURES = "label", "label_index", "features"
+FILES_AT_ONCE = 4
+
+In = TypeVar("In")
+Out = TypeVar("Out")
+
+
+def _side_by_side(work: Callable[[In], Out], items: Sequence[In], at_once: int) -> list[Out]:
+    """work(item) for each item, a few driver threads submitting their jobs together."""
+    in_session = inheritable_thread_target(SparkSession.active())
+    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
+        tasks = [pool.submit(in_session(partial(work, item))) for item in items]
+        return [t.result() for t in tasks]
 
 
 def fit_indexer(df: DataFrame) -> StringIndexerModel:
@@ -57,12 +71,10 @@ def forest(params: TrainParams, seed: int) -> RandomForestClassifier:
 def train_ensemble(train: DataFrame, params: TrainParams) -> list[RandomForestClassificationModel]:
     """n_models forests with seeds seed, seed + 1, ..; some are fitted side by side."""
 
-    @inheritable_thread_target(train.sparkSession)
     def fit(member: int) -> RandomForestClassificationModel:
         return forest(params, params.seed + member).fit(train)
 
-    with ThreadPoolExecutor(max_workers=max(1, params.parallelism)) as pool:
-        return list(pool.map(fit, range(params.n_models)))
+    return _side_by_side(fit, list(range(params.n_models)), params.parallelism)
 
 
 def grid_search(train: DataFrame, key: str, params: TrainParams) -> CrossValidatorModel:
@@ -125,8 +137,7 @@ def score_members(df: DataFrame, models: Sequence[RandomForestClassificationMode
 
 def score_ensemble(df: DataFrame, models: Sequence[RandomForestClassificationModel]) -> DataFrame:
     """Adds the members' predictions and their majority vote, without a join."""
-    votes = [F.col(c) for c in pred_columns(models)]
-    return score_members(df, models).withColumn("final_prediction", majority_vote(votes))
+    return with_vote(score_members(df, models), pred_columns(models))
 
 
 def prediction_export(df: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
@@ -152,16 +163,23 @@ def save_members(
     models: Sequence[RandomForestClassificationModel], indexer: StringIndexerModel, features: Sequence[str], path: str
 ) -> list[str]:
     """Save each member with its index and assembler, so scoring needs no refit."""
-    paths = []
-    for i, model in enumerate(models):
-        paths.append(f"{path}/model_{i}")
-        PipelineModel([for_scoring(indexer), assembler(features), model]).write().overwrite().save(paths[-1])
-    return paths
+
+    def save(numbered: tuple[int, RandomForestClassificationModel]) -> str:
+        place, model = numbered
+        target = f"{path}/model_{place}"
+        PipelineModel([for_scoring(indexer), assembler(features), model]).write().overwrite().save(target)
+        return target
+
+    return _side_by_side(save, list(enumerate(models)), FILES_AT_ONCE)
 
 
 def load_members(
     path: str, members: int
 ) -> tuple[StringIndexerModel, VectorAssembler, list[RandomForestClassificationModel]]:
     """(indexer, assembler, forests) as saved by save_members."""
-    stages = [PipelineModel.load(f"{path}/model_{i}").stages for i in range(members)]
+
+    def load(member: int) -> list:
+        return PipelineModel.load(f"{path}/model_{member}").stages
+
+    stages = _side_by_side(load, list(range(members)), FILES_AT_ONCE)
     return stages[0][0], stages[0][1], [s[2] for s in stages]

@@ -12,22 +12,27 @@ def stripped_texts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     return texts.select(key, markup.strip_markup(F.col(text)).alias(text))
 
 
-def _typed_lines(texts: DataFrame, key: str, text: str) -> DataFrame:
-    lines = texts.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "raw"))
-    stripped = lines.select(key, F.col("line_no").cast("bigint"), markup.strip_edges(F.col("raw")).alias("line"))
-    return stripped.withColumn("kind", markup.line_kind(F.col("line")))
+def _lines(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, line_no, line): stripped lines without table separators."""
+    raw = texts.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "raw"))
+    lines = raw.select(key, F.col("line_no").cast("bigint"), markup.strip_edges(F.col("raw")).alias("line"))
+    return lines.filter(~markup.is_separator(F.col("line")))
 
 
 def report_lines(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, line_no, kind, body) of every line; table separators are skipped."""
-    typed = _typed_lines(texts, key, text).filter(F.col("kind") != "separator")
-    return typed.select(key, "line_no", "kind", markup.line_body(F.col("line"), F.col("kind")).alias("body"))
+    typed = _lines(texts, key, text).withColumn("kind", markup.line_kind(F.col("line")))
+    bodies = typed.select(key, "line_no", "kind", markup.line_body(F.col("line"), F.col("kind")).alias("body"))
+    return bodies.withColumn("body", markup.strip_markup(F.col("body")))
 
 
 def table_cells(texts: DataFrame, key: str, width: int, text: str = "text") -> DataFrame:
-    """(key, line_no, cell_no, cell) of every table row."""
-    rows = _typed_lines(texts, key, text).filter(F.col("kind") == "table_row")
-    cells = rows.select(
-        key, "line_no", F.posexplode(markup.table_cells(F.col("line"), width)).alias("cell_no", "cell")
+    """(key, line_no, cell_no, cell) of every table row; a cell shows `width` characters."""
+    rows = _lines(texts, key, text).filter(F.col("line").startswith("|"))
+    cells = rows.select(key, "line_no", F.posexplode(markup.shown_cells(F.col("line"))).alias("cell_no", "cell"))
+    return cells.select(
+        key,
+        "line_no",
+        F.col("cell_no").cast("bigint").alias("cell_no"),
+        F.substring(markup.strip_markup(F.col("cell")), 1, width).alias("cell"),
     )
-    return cells.withColumn("cell_no", F.col("cell_no").cast("bigint"))

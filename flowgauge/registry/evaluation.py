@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.operators import confusion as ops
-from flowgauge.operators import counting
+from flowgauge.operators import counting, voting
 from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
 from flowgauge.registry.sql import F1, share, with_views
@@ -34,7 +34,7 @@ def label_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def votes_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = v.scored(spark, sf_dir, v.classes(spark, sf_dir))
     apart = F.array(*[F.struct(F.lit(i).alias("model"), F.col(m).alias("pred")) for i, m in enumerate(v.members())])
-    return ops.votes_wide(wide.select("flow_id", F.inline(apart)), v.KEY, v.MEMBERS)
+    return voting.votes_wide(wide.select("flow_id", F.inline(apart)), v.KEY, v.MEMBERS)
 
 
 @query(

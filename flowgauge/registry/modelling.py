@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowgauge.operators import confusion, forests
+from flowgauge.operators import confusion, forests, voting
 from flowgauge.operators.cleaning import drop_incomplete, labelled
 from flowgauge.operators.sampling import split
 from flowgauge.registry import views as v
@@ -151,8 +151,7 @@ def ensemble_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test rows per class that got a vote one of their members cast."""
     data = Prepared(spark, sf_dir)
     scored = forests.score_ensemble(data.test, forests.train_ensemble(data.train, v.TRAIN))
-    votes = [F.col(f"pred_{i}") for i in range(v.TRAIN.n_models)]
-    cast = confusion.agreement(votes, F.col("final_prediction")) > 0
+    cast = voting.agreement([f"pred_{i}" for i in range(v.TRAIN.n_models)]) > 0
     return scored.groupBy("label").agg(F.count_if(cast).alias("scored_rows"))
 
 

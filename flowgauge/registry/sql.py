@@ -153,4 +153,4 @@ def sql_markup(text: str) -> str:
 
 
 def sql_strip(text: str) -> str:
-    return f"regexp_replace({text}, '{markup.EDGES}', '', 'g')"
+    return f"trim({text}, '{markup.WHITESPACE}')"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from flowgauge.operators import forests
+from flowgauge.operators.voting import with_vote
 from flowgauge.params import CleanParams
 from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
@@ -37,7 +38,7 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = arriving(rows, spark)
     labels = [r["label"] for r in class_rows.orderBy("label_index").collect()]
     stream = ops.read_flow_stream(spark, path, rows.schema, files_per_trigger=1)
-    found = ops.alerts(ops.vote_stream(stream, v.members()), ops.benign_index(labels, v.BENIGN))
+    found = ops.alerts(with_vote(stream, v.members()), ops.benign_index(labels, v.BENIGN))
     columns = found.select("flow_id", "label", "final_prediction")
     return ops.run_to_files(columns, fresh_dir(spark, "alerts"), fresh_dir(spark, "alerts-progress"))
 

@@ -12,12 +12,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowgauge.functions.hashing import hash_number
-from flowgauge.functions.vote import majority_vote
 from flowgauge.operators.confusion import confusion_long, global_metrics, per_class_metrics
 from flowgauge.operators.counting import class_table
+from flowgauge.operators.voting import with_vote
 from flowgauge.params import CleanParams, ReportParams, TrainParams
 from flowgauge.sources.scratch import lookup
-from flowgauge.sources.tables import read_table
+from flowgauge.sources.tables import read_table, spread
 
 BENIGN = "benign"
 CLASSES = ("benign", "flood", "scan", "slow", "brute", "botnet")
@@ -32,7 +32,10 @@ CHOICE = "slow"
 REPORT = ReportParams(benign=BENIGN)
 CLEAN = CleanParams(cast_columns=("value_txt",))
 # Small forests keep a query short; the library's own settings are in TrainParams.
-TRAIN = TrainParams(grid_num_trees=(5, 10), grid_max_depth=(3, 5), n_folds=2, num_trees=10, max_depth=5, n_models=3)
+TRAIN = TrainParams(
+    grid_num_trees=(5, 10), grid_max_depth=(3, 5), n_folds=2, num_trees=10, max_depth=5, n_models=3,
+    parallelism=4,
+)
 FEATURES = ("value", "k", "hour", "user")
 
 
@@ -97,7 +100,8 @@ def scored(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame
     names = class_rows.select(
         "label", "label_index", F.count(F.lit(1)).over(W.partitionBy()).cast("double").alias("n_classes")
     )
-    indexed = flows(spark, sf_dir).select("flow_id", "label").join(F.broadcast(names), "label")
+    rows = spread(flows(spark, sf_dir).select("flow_id", "label"), KEY)
+    indexed = rows.join(names, "label")
     index = F.col("label_index")
     preds = []
     for i, name in enumerate(members()):
@@ -107,8 +111,7 @@ def scored(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame
 
 
 def voted(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame:
-    votes = [F.col(m) for m in members()]
-    return scored(spark, sf_dir, class_rows).withColumn("final_prediction", majority_vote(votes))
+    return with_vote(scored(spark, sf_dir, class_rows), members())
 
 
 class Report:
@@ -140,4 +143,5 @@ def briefings(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc, F.lit("**\n- first *point*\n* second `point`\n1. step\n2) step – ✅ done\n   \n"), text,
         F.lit("\n|"), F.col("source"), F.lit("|"),
     )
-    return read_table(spark, sf_dir, "documents").select("doc_id", frame.alias("text"))
+    documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return spread(documents, "doc_id").select("doc_id", frame.alias("text"))

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.functions.vote import majority_vote
 from flowgauge.operators.cleaning import clean
 from flowgauge.operators.forests import score_ensemble
+from flowgauge.operators.voting import with_vote
 from flowgauge.params import CleanParams
 
 
@@ -31,11 +31,6 @@ def benign_index(labels: Sequence[str], benign: str) -> float:
     return float(list(labels).index(benign))
 
 
-def vote_stream(stream: DataFrame, members: Sequence[str]) -> DataFrame:
-    """Adds the majority vote to rows that already carry member predictions."""
-    return stream.withColumn("final_prediction", majority_vote([F.col(m) for m in members]))
-
-
 def score_stream(
     stream: DataFrame,
     models: Sequence[RandomForestClassificationModel],
