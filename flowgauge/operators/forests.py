@@ -2,39 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from functools import partial
-from typing import TypeVar
+from collections.abc import Sequence
 
-from pyspark import inheritable_thread_target
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.jobs import FILES_AT_ONCE, together
 from flowgauge.operators.sampling import with_fold
 from flowgauge.operators.voting import with_vote
 from flowgauge.params import TrainParams
 from flowgauge.sources.scratch import written
 
 LABEL, INDEX, FEATURES = "label", "label_index", "features"
-FILES_AT_ONCE = 4
-
-In = TypeVar("In")
-Out = TypeVar("Out")
-
-
-def _side_by_side(work: Callable[[In], Out], items: Sequence[In], at_once: int) -> list[Out]:
-    """work(item) for each item, a few driver threads submitting their jobs together."""
-    in_session = inheritable_thread_target(SparkSession.active())
-    with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
-        tasks = [pool.submit(in_session(partial(work, item))) for item in items]
-        return [t.result() for t in tasks]
 
 
 def fit_indexer(df: DataFrame) -> StringIndexerModel:
@@ -74,7 +59,7 @@ def train_ensemble(train: DataFrame, params: TrainParams) -> list[RandomForestCl
     def fit(member: int) -> RandomForestClassificationModel:
         return forest(params, params.seed + member).fit(train)
 
-    return _side_by_side(fit, list(range(params.n_models)), params.parallelism)
+    return together(fit, list(range(params.n_models)), params.parallelism)
 
 
 def grid_search(train: DataFrame, key: str, params: TrainParams) -> CrossValidatorModel:
@@ -170,7 +155,7 @@ def save_members(
         PipelineModel([for_scoring(indexer), assembler(features), model]).write().overwrite().save(target)
         return target
 
-    return _side_by_side(save, list(enumerate(models)), FILES_AT_ONCE)
+    return together(save, list(enumerate(models)), FILES_AT_ONCE)
 
 
 def load_members(
@@ -181,5 +166,5 @@ def load_members(
     def load(member: int) -> list:
         return PipelineModel.load(f"{path}/model_{member}").stages
 
-    stages = _side_by_side(load, list(range(members)), FILES_AT_ONCE)
+    stages = together(load, list(range(members)), FILES_AT_ONCE)
     return stages[0][0], stages[0][1], [s[2] for s in stages]

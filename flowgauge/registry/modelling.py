@@ -7,14 +7,18 @@ from dataclasses import replace
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowgauge.operators import confusion, forests, voting
 from flowgauge.operators.cleaning import drop_incomplete, labelled
 from flowgauge.operators.sampling import split
+from flowgauge.params import CleanParams, SampleParams
+from flowgauge.plans.batch import BatchParams, run_batch
 from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
 from flowgauge.registry.sql import bucket, with_views
 from flowgauge.sources.scratch import fresh_dir
+from flowgauge.sources.tables import read_report
 
 _TEST = f"{bucket(v.SEED, 100)} < {round(100 * v.TEST_SHARE)}"
 
@@ -155,3 +159,46 @@ def ensemble_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.groupBy("label").agg(F.count_if(cast).alias("scored_rows"))
 
 
+
+
+_RAW = T.StructType(
+    [
+        T.StructField("flow_id", T.LongType()),
+        T.StructField("src_ip", T.StringType()),
+        T.StructField("protocol", T.StringType()),
+        T.StructField("duration", T.DoubleType()),
+        T.StructField("packets_count", T.DoubleType()),
+        T.StructField("src_port", T.DoubleType()),
+        T.StructField("total_header_bytes", T.LongType()),
+        T.StructField("label", T.StringType()),
+    ]
+)
+
+
+def raw_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The dirty flow view as CSV files under the names of a flow table."""
+    path = fresh_dir(spark, "raw-csv")
+    v.dirty(spark, sf_dir).select(
+        "flow_id",
+        "src_ip",
+        "protocol",
+        F.col("value").alias("Duration"),
+        F.col("value_txt").alias("Packets Count"),
+        F.col("user_id").alias("src port"),
+        "total_header_bytes",
+        "label",
+    ).write.option("header", True).csv(path)
+    return path
+
+
+@query("batch_run")
+def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job from CSV files to report tables; shows the class metrics."""
+    params = BatchParams(
+        sample=SampleParams(class_limits=v.CAPS, seed=v.SEED, test_share=v.TEST_SHARE),
+        clean=CleanParams(cast_columns=("duration", "packets_count", "src_port")),
+        train=v.TRAIN,
+        search=False,
+    )
+    result = run_batch(spark, raw_csv(spark, sf_dir), fresh_dir(spark, "batch"), params, _RAW)
+    return read_report(spark, f"{result.path}/reports", "per_class_metrics")

@@ -92,14 +92,10 @@ def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return headers.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
 
 
-def read_by_name(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None
-) -> DataFrame:
-    """All CSV files under path, combined by normalised column name.
+def read_text_by_name(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """All CSV files under path, combined by normalised column name, as text.
 
-    Columns a file lacks become null. With a schema the result has exactly its
-    columns, and text that does not parse becomes null; without one, types are
-    found in one pass over all files, so that they do not depend on the file.
+    Columns a file lacks become null.
     """
     groups = file_headers(spark, path).orderBy("header").collect()
     if not groups:
@@ -109,8 +105,20 @@ def read_by_name(
         names = _unique_names(next(csv.reader([group["header"]])))
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
         parts.append(scan_csv(spark, group["paths"], text))
-    combined = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return with_types(combined, schema if schema is not None else infer_types(combined))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_by_name(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType | None = None
+) -> DataFrame:
+    """The combined CSV files with types.
+
+    With a schema the result has exactly its columns, and text that does not
+    parse becomes null; without one, types are found in one pass over all files,
+    so that they do not depend on the file.
+    """
+    text = read_text_by_name(spark, path)
+    return with_types(text, schema if schema is not None else infer_types(text))
 
 
 def infer_types(df: DataFrame) -> T.StructType:

@@ -21,14 +21,14 @@ BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def scratch_base(spark: SparkSession) -> str:
-    configured = spark.conf.get(CHECKPOINT_DIR, None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
-    local = tempfile.mkdtemp(prefix="flowgauge-")
-    spark.conf.set(CHECKPOINT_DIR, local)
-    return local
+    context = spark.sparkContext
+    shared = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
+    if not shared:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="flowgauge-"))
+        shared = context.getCheckpointDir()
+    return shared.rstrip("/")
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
@@ -46,11 +46,12 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 def lookup(df: DataFrame) -> DataFrame:
     """A class-level table, run once and marked for broadcast if small enough.
 
-    At most BROADCAST_ROWS + 1 rows reach the driver. A table over either bound
-    is written out instead and joined by a shuffle, which AQE splits where one
-    key is hot.
+    At most BROADCAST_ROWS + 1 rows reach the driver. A table within both bounds
+    has one partition, so that what is computed from it needs no shuffle. One
+    over either bound is written out instead and joined by a shuffle, which AQE
+    splits where one key is hot.
     """
     rows = df.limit(BROADCAST_ROWS + 1).toArrow()
     if rows.num_rows <= BROADCAST_ROWS and rows.nbytes <= BROADCAST_BYTES:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema))
+        return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema).coalesce(1))
     return written(df, "lookup")

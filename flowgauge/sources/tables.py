@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.utils import AnalysisException
 
+from flowgauge.jobs import FILES_AT_ONCE, together
 from flowgauge.sources.scratch import fresh_dir
 
 REPORT_TABLES = (
@@ -41,10 +42,12 @@ def replace_table(df: DataFrame, path: str) -> DataFrame:
 
 def write_reports(tables: Mapping[str, DataFrame], base: str) -> dict[str, str]:
     """Write each report table as Parquet below base, replacing older ones."""
-    paths = {}
-    for name, table in tables.items():
-        paths[name] = f"{base}/{name}"
-        table.write.mode("overwrite").parquet(paths[name])
+    paths = {name: f"{base}/{name}" for name in tables}
+
+    def write(name: str) -> None:
+        tables[name].write.mode("overwrite").parquet(paths[name])
+
+    together(write, list(tables), FILES_AT_ONCE)
     return paths
 
 
