@@ -44,7 +44,7 @@ def model_input(df: DataFrame, features: Sequence[str], indexer: StringIndexerMo
     """
     ready = assembler(features).transform(indexer.transform(df))
     laid_out = ready.repartition(F.col(key)).sortWithinPartitions(key)
-    return written(laid_out.select(key, LABEL, INDEX, *features, FEATURES), "model-input")
+    return written(laid_out.select(key, LABEL, INDEX, FEATURES), "model-input")
 
 
 def forest(params: TrainParams, seed: int) -> RandomForestClassifier:

@@ -115,7 +115,7 @@ def run_batch(
         spark,
         f"{out}/runs",
         run_id,
-        fingerprint(train.select(key, "label", *features)),
+        fingerprint(split(rows, key, params.sample.test_share, params.sample.seed)[0]),
         record.first().asDict(),
         {"num_trees": train_params.num_trees, "max_depth": train_params.max_depth, "n_models": train_params.n_models,
          "seed": params.sample.seed, "test_share": params.sample.test_share},

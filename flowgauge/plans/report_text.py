@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from flowgauge.functions import markup
@@ -13,26 +14,43 @@ def stripped_texts(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def _lines(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, line_no, line): stripped lines without table separators."""
+    """(key, line_no, line): every line, stripped."""
     raw = texts.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "raw"))
-    lines = raw.select(key, F.col("line_no").cast("bigint"), markup.strip_edges(F.col("raw")).alias("line"))
-    return lines.filter(~markup.is_separator(F.col("line")))
+    return raw.select(key, F.col("line_no").cast("bigint"), markup.strip_edges(F.col("raw")).alias("line"))
 
 
 def report_lines(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, line_no, kind, body) of every line; table separators are skipped."""
-    typed = _lines(texts, key, text).withColumn("kind", markup.line_kind(F.col("line")))
+    shown = _lines(texts, key, text).filter(~markup.is_separator(F.col("line")))
+    typed = shown.withColumn("kind", markup.line_kind(F.col("line")))
     bodies = typed.select(key, "line_no", "kind", markup.line_body(F.col("line"), F.col("kind")).alias("body"))
     return bodies.withColumn("body", markup.strip_markup(F.col("body")))
 
 
 def table_cells(texts: DataFrame, key: str, width: int, text: str = "text") -> DataFrame:
-    """(key, line_no, cell_no, cell) of every table row; a cell shows `width` characters."""
-    rows = _lines(texts, key, text).filter(F.col("line").startswith("|"))
-    cells = rows.select(key, "line_no", F.posexplode(markup.shown_cells(F.col("line"))).alias("cell_no", "cell"))
-    return cells.select(
+    """(key, line_no, cell_no, cell, is_header) of every table row.
+
+    A table is a run of lines that start with a bar; the first of them that
+    shows a cell is its header. A cell shows `width` characters. Only table
+    lines are shuffled, to number the lines of each text's tables.
+    """
+    bars = _lines(texts, key, text).filter(F.col("line").startswith("|"))
+    cells = F.when(~markup.is_separator(F.col("line")), markup.shown_cells(F.col("line")))
+    in_text = W.partitionBy(key).orderBy("line_no")
+    rows = bars.select(
+        key, "line_no", cells.alias("cells"), (F.col("line_no") - F.row_number().over(in_text)).alias("table_no")
+    )
+    header = F.min(F.when(F.size("cells") > 0, F.col("line_no"))).over(W.partitionBy(key, "table_no"))
+    shown = rows.withColumn("header", header).select(
+        key,
+        "line_no",
+        (F.col("line_no") == F.col("header")).alias("is_header"),
+        F.posexplode("cells").alias("cell_no", "cell"),
+    )
+    return shown.select(
         key,
         "line_no",
         F.col("cell_no").cast("bigint").alias("cell_no"),
         F.substring(markup.strip_markup(F.col("cell")), 1, width).alias("cell"),
+        "is_header",
     )

@@ -324,12 +324,16 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "report_table_cells",
     _with_lines(
-        f"""select doc_id, line_no, pos - 1 as cell_no, substr({sql_markup("cells[pos]")}, 1, {v.REPORT.cell_width}) as cell
-            from (select doc_id, line_no, cells, unnest(generate_series(1, len(cells))) as pos
-                  from (select doc_id, line_no,
+        f"""select doc_id, line_no, pos - 1 as cell_no,
+                   substr({sql_markup("cells[pos]")}, 1, {v.REPORT.cell_width}) as cell, is_header
+            from (select doc_id, line_no, cells, unnest(generate_series(1, len(cells))) as pos,
+                         line_no = min(line_no) over (partition by doc_id, table_no) as is_header
+                  from (select doc_id, line_no, kind, table_no,
                                list_filter(list_transform(string_split(line, '|'), lambda c: {sql_strip("c")}),
                                            lambda c: c <> '') as cells
-                        from typed where kind = 'table_row'))"""
+                        from (select *, line_no - row_number() over (partition by doc_id order by line_no) as table_no
+                              from typed where kind in ('table_row', 'separator')))
+                  where kind = 'table_row' and len(cells) > 0)"""
     ),
 )
 def report_table_cells(spark: SparkSession, sf_dir: str) -> DataFrame:

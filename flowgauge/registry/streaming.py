@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowgauge.operators import forests
 from flowgauge.operators.voting import with_vote
@@ -12,15 +13,13 @@ from flowgauge.registry.entry import query
 from flowgauge.registry.modelling import Prepared, feature_rows
 from flowgauge.registry.sql import with_views
 from flowgauge.sources.scratch import fresh_dir
+from flowgauge.sources.tables import spread
 from flowgauge.streaming import alerts as ops
 
-_ARRIVALS = 4
-
-
 def arriving(df: DataFrame, spark: SparkSession) -> str:
     """A folder of Parquet files holding all rows of df."""
     path = fresh_dir(spark, "arrivals")
-    df.repartition(_ARRIVALS).write.parquet(path)
+    df.write.parquet(path)
     return path
 
 
@@ -37,23 +36,45 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = v.scored(spark, sf_dir, class_rows)
     path = arriving(rows, spark)
     labels = [r["label"] for r in class_rows.orderBy("label_index").collect()]
-    stream = ops.read_flow_stream(spark, path, rows.schema, files_per_trigger=1)
+    stream = ops.read_flow_stream(spark, path, rows.schema)
     found = ops.alerts(with_vote(stream, v.members()), ops.benign_index(labels, v.BENIGN))
     columns = found.select("flow_id", "label", "final_prediction")
     return ops.run_to_files(columns, fresh_dir(spark, "alerts"), fresh_dir(spark, "alerts-progress"))
 
 
-@query("stream_scored")
-def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Members are trained and saved once; the stream only loads and applies them."""
+def _scored_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(stream result, batch result) of the same flows and members.
+
+    Members are trained and saved once; the stream only loads and applies them.
+    """
     data = Prepared(spark, sf_dir)
     models = forests.train_ensemble(data.train, v.TRAIN)
     saved = fresh_dir(spark, "models")
     forests.save_members(models, data.indexer, v.FEATURES, saved)
     _, assembler, loaded = forests.load_members(saved, len(models))
 
-    rows = feature_rows(spark, sf_dir)
-    stream = ops.read_flow_stream(spark, arriving(rows, spark), rows.schema, files_per_trigger=2)
+    rows = spread(feature_rows(spark, sf_dir), v.KEY)
+    stream = ops.read_flow_stream(spark, arriving(rows, spark), rows.schema)
     scored = ops.score_stream(stream, loaded, assembler, CleanParams(cast_columns=v.FEATURES), keep=(v.KEY,))
     columns = scored.select("flow_id", "label", *forests.pred_columns(models), "final_prediction")
-    return ops.run_to_files(columns, fresh_dir(spark, "scored"), fresh_dir(spark, "scored-progress"))
+    done = ops.run_to_files(columns, fresh_dir(spark, "scored"), fresh_dir(spark, "scored-progress"))
+    return done, forests.score_ensemble(data.table, models)
+
+
+@query("stream_scored")
+def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _scored_stream(spark, sf_dir)[0]
+
+
+@query(
+    "stream_agreement",
+    with_views("select label, count(*) as streamed, count(*) as agreeing from flows where k is not null group by label", "flows"),
+)
+def stream_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Streamed rows per class, and how many got the vote that a batch run gives."""
+    streamed, batch = _scored_stream(spark, sf_dir)
+    batch_votes = batch.select("flow_id", F.col("final_prediction").alias("batch_vote"))
+    return streamed.join(batch_votes, "flow_id", "left").groupBy("label").agg(
+        F.count(F.lit(1)).alias("streamed"),
+        F.count_if(F.col("final_prediction") == F.col("batch_vote")).alias("agreeing"),
+    )

@@ -53,7 +53,7 @@ def _unique_names(columns: Iterable[str]) -> list[str]:
 
 
 def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(header, paths): the files grouped by their header line.
+    """(path, header): the header line of every CSV file.
 
     Spark lists the files; each task opens only the first line of its share.
     """
@@ -88,23 +88,25 @@ def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         .load(path if isinstance(path, str) else list(path))
         .select("path")
     )
-    headers = listed.mapInPandas(first_lines, "path string, header string")
-    return headers.groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    return listed.mapInPandas(first_lines, "path string, header string")
 
 
 def read_text_by_name(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All CSV files under path, combined by normalised column name, as text.
 
-    Columns a file lacks become null.
+    Columns a file lacks become null. There is one scan per distinct header, not
+    per file. The driver holds the file names, as it does for any file scan.
     """
-    groups = file_headers(spark, path).orderBy("header").collect()
+    groups: dict[str, list[str]] = {}
+    for file in file_headers(spark, path).toLocalIterator():
+        groups.setdefault(file["header"], []).append(file["path"])
     if not groups:
         raise FileNotFoundError(f"no CSV files under {path}")
     parts = []
-    for group in groups:
-        names = _unique_names(next(csv.reader([group["header"]])))
+    for header in sorted(groups):
+        names = _unique_names(next(csv.reader([header])))
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        parts.append(scan_csv(spark, group["paths"], text))
+        parts.append(scan_csv(spark, sorted(groups[header]), text))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

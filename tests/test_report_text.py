@@ -46,13 +46,13 @@ def _check(spark, text):
     expected = [(i, k, _body(s, k)) for i, k, s in typed if k != "separator"]
     got = sorted((r.line_no, r.kind, r.body) for r in report_lines(df, "doc_id").collect())
     assert got == sorted(expected)
-    cells = [
-        (i, j, _strip(c)[:30])
-        for i, k, s in typed
-        if k == "table_row"
-        for j, c in enumerate([c.strip() for c in s.split("|") if c.strip()])
-    ]
-    assert sorted((r.line_no, r.cell_no, r.cell) for r in table_cells(df, "doc_id", 30).collect()) == cells
+    cells, head_due = [], True
+    for i, k, s in typed:
+        found = [c.strip() for c in s.split("|") if c.strip()] if k == "table_row" else []
+        cells += [(i, j, _strip(c)[:30], head_due) for j, c in enumerate(found)]
+        head_due = (head_due and not found) if k in ("table_row", "separator") else True
+    got = sorted((r.line_no, r.cell_no, r.cell, r.is_header) for r in table_cells(df, "doc_id", 30).collect())
+    assert got == cells
     assert stripped_texts(df, "doc_id").first().text == _strip(text)
 
 
