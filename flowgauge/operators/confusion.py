@@ -132,30 +132,28 @@ def named_confusion(confusion: DataFrame, classes: DataFrame) -> DataFrame:
 def confusion_matrix(confusion: DataFrame, classes: DataFrame, labels: Sequence[str]) -> DataFrame:
     """One row per class, one column per predicted class, zeros filled in."""
     named = named_confusion(confusion, classes)
-    dense = (
-        named.groupBy(F.col("actual").alias("label"))
-        .pivot("predicted", list(labels))
-        .agg(F.sum("count"))
+    cells = [F.sum(F.when(F.col("predicted") == x, F.col("count"))).alias(x) for x in labels]
+    dense = named.groupBy(F.col("actual").alias("label")).agg(*cells)
+    filled = [F.coalesce(F.col(f"`{x}`"), F.lit(0).cast("bigint")).alias(x) for x in labels]
+    return classes.select("label", "label_index").join(dense, "label", "left").select("label", "label_index", *filled)
+
+
+def prediction_scores(scored: DataFrame, predictions: Sequence[str]) -> DataFrame:
+    """(model, f1_score): weighted F1 of each prediction column, from one pass."""
+    cases = F.array(
+        *[F.struct(F.lit(name).alias("model"), F.col(name).alias("final_prediction")) for name in predictions]
     )
-    cells = [F.coalesce(F.col(f"`{x}`"), F.lit(0).cast("bigint")).alias(x) for x in labels]
-    return classes.select("label", "label_index").join(dense, "label", "left").select("label", "label_index", *cells)
+    long = scored.select("label_index", F.inline(cases))
+    counted = long.groupBy("model", "label_index", "final_prediction").agg(F.count(F.lit(1)).alias("count"))
+    return global_metrics(counted, "model").select("model", "f1_score")
 
 
 def member_scores(scored: DataFrame, members: Sequence[str], vote: str = "final_prediction") -> DataFrame:
     """Weighted F1 of each member and of the vote, with the vote's gain in points.
 
-    All members are counted in one pass; `gain` compares the vote with the
-    worst member and is null on member rows.
+    `gain_points` compares the vote with the worst member; it is null for members.
     """
-    cases = F.array(
-        *[
-            F.struct(F.lit(name).alias("model"), F.col(name).alias("final_prediction"))
-            for name in (*members, vote)
-        ]
-    )
-    long = scored.select("label_index", F.inline(cases))
-    counted = long.groupBy("model", "label_index", "final_prediction").agg(F.count(F.lit(1)).alias("count"))
-    scores = global_metrics(counted, "model").select("model", "f1_score")
+    scores = prediction_scores(scored, [*members, vote])
     worst = F.min(F.when(F.col("model") != vote, F.col("f1_score"))).over(W.partitionBy())
     gain = (F.col("f1_score") - worst) * 100.0
     return scores.select("model", "f1_score", F.when(F.col("model") == vote, gain).alias("gain_points"))

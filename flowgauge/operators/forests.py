@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.jobs import FILES_AT_ONCE, together
+from flowgauge.operators.confusion import prediction_scores
 from flowgauge.operators.sampling import with_fold
 from flowgauge.operators.voting import with_vote
 from flowgauge.params import TrainParams
@@ -36,14 +36,20 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=FEATURES)
 
 
-def model_input(df: DataFrame, features: Sequence[str], indexer: StringIndexerModel, key: str) -> DataFrame:
-    """Indexed and assembled rows, written once in a fixed order.
+def model_input(
+    df: DataFrame, features: Sequence[str], indexer: StringIndexerModel, key: str, partitions: int | None = None
+) -> DataFrame:
+    """Indexed and assembled rows, written once in a fixed layout.
 
-    A forest depends on how its input is laid out; ordering by key makes a fit
-    repeat, and the written table keeps later fits from recomputing the input.
+    A forest depends on how its input is laid out; a set number of partitions,
+    each in key order, makes a fit repeat. The number is at least that of the
+    cores, as a fit passes over the table once per tree level; give a higher one
+    for large tables. The written table keeps later fits from recomputing it.
     """
+    spark = df.sparkSession
+    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     ready = assembler(features).transform(indexer.transform(df))
-    laid_out = ready.repartition(F.col(key)).sortWithinPartitions(key)
+    laid_out = ready.repartition(max(partitions or 0, least), F.col(key)).sortWithinPartitions(key)
     return written(laid_out.select(key, LABEL, INDEX, FEATURES), "model-input")
 
 
@@ -62,35 +68,50 @@ def train_ensemble(train: DataFrame, params: TrainParams) -> list[RandomForestCl
     return together(fit, list(range(params.n_models)), params.parallelism)
 
 
-def grid_search(train: DataFrame, key: str, params: TrainParams) -> CrossValidatorModel:
-    """k-fold cross validation of the tree-count and depth grid on weighted F1."""
-    rf = RandomForestClassifier(labelCol=INDEX, featuresCol=FEATURES, seed=params.seed)
-    grid = (
-        ParamGridBuilder()
-        .addGrid(rf.numTrees, list(params.grid_num_trees))
-        .addGrid(rf.maxDepth, list(params.grid_max_depth))
-        .build()
-    )
-    search = CrossValidator(
-        estimator=rf,
-        estimatorParamMaps=grid,
-        evaluator=MulticlassClassificationEvaluator(labelCol=INDEX, metricName="f1"),
-        numFolds=params.n_folds,
-        foldCol="fold",
-        parallelism=params.parallelism,
-        seed=params.seed,
-    )
-    folded = with_fold(train.select(key, INDEX, FEATURES), key, params.n_folds, params.seed)
-    return search.fit(folded)
+@dataclass(frozen=True)
+class GridResult:
+    """Mean fold score of each grid point, and the best one fitted on all rows."""
+
+    scores: DataFrame
+    best: TrainParams
+    model: RandomForestClassificationModel
+
+
+def grid_points(params: TrainParams) -> list[TrainParams]:
+    return [
+        replace(params, num_trees=trees, max_depth=depth)
+        for trees in params.grid_num_trees
+        for depth in params.grid_max_depth
+    ]
+
 
+def grid_search(train: DataFrame, key: str, params: TrainParams) -> GridResult:
+    """k-fold cross validation of the tree-count and depth grid on weighted F1.
 
-def grid_scores(model: CrossValidatorModel, train: DataFrame) -> DataFrame:
-    """(num_trees, max_depth, f1): mean fold score of each grid point."""
+    All grid points of a fold are scored in one pass over its held-out rows,
+    where one evaluator per point would read them once for each.
+    """
+    spark, points = train.sparkSession, grid_points(params)
+    folded = with_fold(train.select(key, INDEX, FEATURES), key, params.n_folds, params.seed)
+    by_name = {f"pred_{i}": p for i, p in enumerate(points)}
     rows = []
-    for point, score in zip(model.getEstimatorParamMaps(), model.avgMetrics):
-        named = {p.name: v for p, v in point.items()}
-        rows.append((named["numTrees"], named["maxDepth"], float(score)))
-    return train.sparkSession.createDataFrame(rows, "num_trees int, max_depth int, f1 double")
+    for fold in range(params.n_folds):
+        models = fit_points(folded.filter(F.col("fold") != fold), points)
+        held_out = score_members(folded.filter(F.col("fold") == fold), models)
+        rows += [
+            (by_name[r.model].num_trees, by_name[r.model].max_depth, fold, r.f1_score)
+            for r in prediction_scores(held_out, list(by_name)).collect()
+        ]
+    fold_scores = spark.createDataFrame(rows, "num_trees int, max_depth int, fold int, f1 double")
+    scores = fold_scores.groupBy("num_trees", "max_depth").agg(F.avg("f1").alias("f1"))
+    chosen = best_params(scores).first()
+    best = replace(params, num_trees=chosen.num_trees, max_depth=chosen.max_depth)
+    return GridResult(scores, best, forest(best, best.seed).fit(train))
+
+
+def fit_points(train: DataFrame, points: Sequence[TrainParams]) -> list[RandomForestClassificationModel]:
+    """One forest per setting, all with the same seed."""
+    return together(lambda p: forest(p, p.seed).fit(train), points, points[0].parallelism)
 
 
 def best_params(scores: DataFrame) -> DataFrame:
@@ -100,6 +121,18 @@ def best_params(scores: DataFrame) -> DataFrame:
     return scores.agg(best.alias("best")).select("best.*")
 
 
+def test_scores(train: DataFrame, test: DataFrame, params: TrainParams) -> DataFrame:
+    """(num_trees, max_depth, f1): score on the test rows of each grid point."""
+    points = grid_points(params)
+    scored = score_members(test, fit_points(train, points))
+    names = pred_columns(points)
+    settings = train.sparkSession.createDataFrame(
+        [(n, p.num_trees, p.max_depth) for n, p in zip(names, points)], "model string, num_trees int, max_depth int"
+    )
+    by_model = prediction_scores(scored, names).join(F.broadcast(settings), "model")
+    return by_model.select("num_trees", "max_depth", F.col("f1_score").alias("f1"))
+
+
 def score_gap(cv_scores: DataFrame, test_scores: DataFrame) -> DataFrame:
     """CV score against test score per setting; a large gap points to overfitting."""
     keys = ["num_trees", "max_depth"]

@@ -76,16 +76,16 @@ def run_batch(
         rows = written(prepare(raw, params), "prepared")
         features = feature_columns(rows, key)
         indexer = forests.fit_indexer(rows)
-        data = forests.model_input(rows, features, indexer, key)
+        data = forests.model_input(rows, features, indexer, key, rows.rdd.getNumPartitions())
         train, test = split(data, key, params.sample.test_share, params.sample.seed)
     if params.search:
         with log.step("grid_search"):
             search = forests.grid_search(train, key, train_params)
-            forests.grid_scores(search, train).write.parquet(f"{base}/grid_scores")
-            best_model = search.bestModel
+            search.scores.write.parquet(f"{base}/grid_scores")
+            train_params = search.best
     with log.step("ensemble"):
         models = forests.train_ensemble(train, train_params)
-        best_model = best_model if params.search else models[0]
+        best_model = search.model if params.search else models[0]
     with log.step("vote"):
         members = forests.pred_columns(models)
         voted = forests.score_ensemble(test, models).select(key, "label", "label_index", *members, "final_prediction")

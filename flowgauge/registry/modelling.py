@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowgauge.operators import confusion, forests, voting
+from flowgauge.operators import forests, voting
 from flowgauge.operators.cleaning import drop_incomplete, labelled
 from flowgauge.operators.sampling import split
 from flowgauge.params import CleanParams, SampleParams
@@ -121,8 +119,7 @@ def model_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cv_grid_scores")
 def cv_grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = Prepared(spark, sf_dir).train
-    return forests.grid_scores(forests.grid_search(train, v.KEY, v.TRAIN), train)
+    return forests.grid_search(Prepared(spark, sf_dir).train, v.KEY, v.TRAIN).scores
 
 
 @query("cv_best_params")
@@ -132,19 +129,10 @@ def cv_best_params(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("cv_gap")
 def cv_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """CV score against test score at each depth of the grid."""
+    """Cross-validation score against test score at each grid point."""
     data = Prepared(spark, sf_dir)
-    cv = forests.grid_scores(forests.grid_search(data.train, v.KEY, v.TRAIN), data.train)
-    settings = [(t, d) for t in v.TRAIN.grid_num_trees for d in v.TRAIN.grid_max_depth]
-    models = [forests.forest(replace(v.TRAIN, num_trees=t, max_depth=d), v.TRAIN.seed).fit(data.train) for t, d in settings]
-    scored = forests.score_ensemble(data.test, models)
-    by_model = confusion.member_scores(scored, forests.pred_columns(models))
-    names = spark.createDataFrame(
-        [(n, t, d) for n, (t, d) in zip(forests.pred_columns(models), settings)],
-        "model string, num_trees int, max_depth int",
-    )
-    test = by_model.join(F.broadcast(names), "model").select("num_trees", "max_depth", F.col("f1_score").alias("f1"))
-    return forests.score_gap(cv, test)
+    cv = forests.grid_search(data.train, v.KEY, v.TRAIN).scores
+    return forests.score_gap(cv, forests.test_scores(data.train, data.test, v.TRAIN))
 
 
 @query(

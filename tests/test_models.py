@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowgauge.operators import forests
-from flowgauge.operators.sampling import split
+from flowgauge.operators.sampling import split, with_fold
 from flowgauge.params import CleanParams
 from flowgauge.plans.batch import BatchParams, SampleParams, run_batch
 from flowgauge.registry import modelling, streaming
@@ -65,6 +65,27 @@ def test_best_params_prefer_the_smaller_forest(spark):
     assert tuple(forests.best_params(scores).first()) == (5, 5, 0.9)
 
 
+def test_grid_scores_equal_the_cross_validator(data):
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    ours = forests.grid_search(data.train, v.KEY, v.TRAIN)
+    rf = forests.forest(v.TRAIN, v.TRAIN.seed)
+    grid = ParamGridBuilder().addGrid(rf.numTrees, [5, 10]).addGrid(rf.maxDepth, [3, 5]).build()
+    evaluator = MulticlassClassificationEvaluator(labelCol="label_index", metricName="f1")
+    theirs = CrossValidator(
+        estimator=rf, estimatorParamMaps=grid, evaluator=evaluator, numFolds=v.TRAIN.n_folds, foldCol="fold"
+    ).fit(with_fold(data.train, v.KEY, v.TRAIN.n_folds, v.TRAIN.seed))
+    expected = {
+        tuple({p.name: x for p, x in point.items()}[n] for n in ("numTrees", "maxDepth")): score
+        for point, score in zip(grid, theirs.avgMetrics)
+    }
+    got = {(r.num_trees, r.max_depth): r.f1 for r in ours.scores.collect()}
+    assert got == pytest.approx(expected, abs=1e-9)
+    assert (ours.best.num_trees, ours.best.max_depth) == tuple(forests.best_params(ours.scores).first())[:2]
+    assert ours.model.getNumTrees == ours.best.num_trees
+
+
 def test_importances_sum_to_one(data, models):
     rows = forests.mean_importance(models, v.FEATURES, data.train).collect()
     assert sum(r.importance for r in rows) == pytest.approx(1)
