@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flowgauge.jobs import FILES_AT_ONCE, together
+from flowgauge.jobs import FILES_AT_ONCE, kept, together
 from flowgauge.operators.confusion import prediction_scores
 from flowgauge.operators.sampling import with_fold
 from flowgauge.operators.voting import with_vote
@@ -20,6 +20,7 @@ from flowgauge.params import TrainParams
 from flowgauge.sources.scratch import written
 
 LABEL, INDEX, FEATURES = "label", "label_index", "features"
+PREPARATION = "preparation"
 
 
 def fit_indexer(df: DataFrame) -> StringIndexerModel:
@@ -62,10 +63,10 @@ def forest(params: TrainParams, seed: int) -> RandomForestClassifier:
 def train_ensemble(train: DataFrame, params: TrainParams) -> list[RandomForestClassificationModel]:
     """n_models forests with seeds seed, seed + 1, ..; some are fitted side by side."""
 
-    def fit(member: int) -> RandomForestClassificationModel:
-        return forest(params, params.seed + member).fit(train)
-
-    return together(fit, list(range(params.n_models)), params.parallelism)
+    with kept(train):
+        return together(
+            lambda member: forest(params, params.seed + member).fit(train), range(params.n_models), params.parallelism
+        )
 
 
 @dataclass(frozen=True)
@@ -111,7 +112,8 @@ def grid_search(train: DataFrame, key: str, params: TrainParams) -> GridResult:
 
 def fit_points(train: DataFrame, points: Sequence[TrainParams]) -> list[RandomForestClassificationModel]:
     """One forest per setting, all with the same seed."""
-    return together(lambda p: forest(p, p.seed).fit(train), points, points[0].parallelism)
+    with kept(train):
+        return together(lambda p: forest(p, p.seed).fit(train), points, points[0].parallelism)
 
 
 def best_params(scores: DataFrame) -> DataFrame:
@@ -180,24 +182,26 @@ def mean_importance(models: Sequence[RandomForestClassificationModel], features:
 def save_members(
     models: Sequence[RandomForestClassificationModel], indexer: StringIndexerModel, features: Sequence[str], path: str
 ) -> list[str]:
-    """Save each member with its index and assembler, so scoring needs no refit."""
+    """Save the members as model_0.. and, once for all, their index and assembler.
+
+    The index is fitted once and saved with the members, so that every later
+    scoring numbers the classes alike.
+    """
+    parts = {f"{path}/model_{i}": m for i, m in enumerate(models)}
+    parts[f"{path}/{PREPARATION}"] = PipelineModel([for_scoring(indexer), assembler(features)])
 
-    def save(numbered: tuple[int, RandomForestClassificationModel]) -> str:
-        place, model = numbered
-        target = f"{path}/model_{place}"
-        PipelineModel([for_scoring(indexer), assembler(features), model]).write().overwrite().save(target)
+    def save(target: str) -> str:
+        parts[target].write().overwrite().save(target)
         return target
 
-    return together(save, list(enumerate(models)), FILES_AT_ONCE)
+    return together(save, list(parts), FILES_AT_ONCE)
 
 
 def load_members(
     path: str, members: int
 ) -> tuple[StringIndexerModel, VectorAssembler, list[RandomForestClassificationModel]]:
     """(indexer, assembler, forests) as saved by save_members."""
-
-    def load(member: int) -> list:
-        return PipelineModel.load(f"{path}/model_{member}").stages
-
-    stages = together(load, list(range(members)), FILES_AT_ONCE)
-    return stages[0][0], stages[0][1], [s[2] for s in stages]
+    readers = [(PipelineModel, PREPARATION)]
+    readers += [(RandomForestClassificationModel, f"model_{i}") for i in range(members)]
+    (preparation, *models) = together(lambda r: r[0].load(f"{path}/{r[1]}"), readers, FILES_AT_ONCE)
+    return preparation.stages[0], preparation.stages[1], models

@@ -7,6 +7,7 @@ windows without a partition run over that many rows only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -50,11 +51,9 @@ def kpi_summary(counts: DataFrame, per_class: DataFrame, metrics: DataFrame, par
 
 
 def _side_by_side(*rows: DataFrame) -> DataFrame:
-    """One-row tables as one row."""
-    out = rows[0].withColumn("_row", F.lit(1))
-    for row in rows[1:]:
-        out = out.join(F.broadcast(row.withColumn("_row", F.lit(1))), "_row")
-    return out.drop("_row")
+    """One-row tables with different columns as one row."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
 
 
 def worst_class(per_class: DataFrame) -> DataFrame:
@@ -121,16 +120,11 @@ def confusion_heat(confusion: DataFrame, classes: DataFrame) -> DataFrame:
     by_actual = confusion.groupBy("label_index").agg(
         F.map_from_entries(F.collect_list(F.struct("final_prediction", "count"))).alias("cells")
     )
-    columns = confusion.agg(F.collect_set("final_prediction").alias("predicted")).withColumn("_row", F.lit(1))
-    grid = (
-        by_actual.withColumn("_row", F.lit(1))
-        .join(F.broadcast(columns), "_row")
-        .select("label_index", "cells", F.explode("predicted").alias("final_prediction"))
-        .select(
-            "label_index",
-            "final_prediction",
-            F.coalesce(F.try_element_at("cells", F.col("final_prediction")), F.lit(0).cast("bigint")).alias("count"),
-        )
+    predicted = confusion.agg(F.collect_set("final_prediction")).scalar()
+    grid = by_actual.select("label_index", "cells", F.explode(predicted).alias("final_prediction")).select(
+        "label_index",
+        "final_prediction",
+        F.coalesce(F.try_element_at("cells", F.col("final_prediction")), F.lit(0).cast("bigint")).alias("count"),
     )
     n = F.col("count")
     text = F.when(n >= 1000, F.concat(F.floor(n / 1000).cast("string"), F.lit("K"))).when(n > 0, n.cast("string"))
@@ -235,10 +229,7 @@ def as_long(tables: dict[str, DataFrame], keys: dict[str, Sequence[str]]) -> Dat
         measures = [c for c in table.columns if c not in keys[name]]
         cells = [F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures]
         parts.append(table.select(F.lit(name).alias("table"), item.alias("item"), F.inline(F.array(*cells))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def _key_text(table: DataFrame, name: str) -> Column:

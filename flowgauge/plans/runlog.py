@@ -43,12 +43,11 @@ def step_shares(log: DataFrame, total_seconds: DataFrame) -> DataFrame:
     `total_seconds` has one row and column `total`; what the steps leave of it
     is shown as the export step.
     """
-    rest = log.groupBy().agg(F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("spent")).withColumn("_row", F.lit(1))
-    total = F.broadcast(total_seconds.select("total", F.lit(1).alias("_row")))
-    export = rest.join(total, "_row").select(
+    spent = F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("spent")
+    export = log.agg(spent).select(
         F.lit(EXPORT).alias("step"),
         F.lit(None).cast("bigint").alias("rows"),
-        (F.col("total") - F.col("spent")).alias("seconds"),
+        (total_seconds.select("total").scalar() - F.col("spent")).alias("seconds"),
     )
     steps = log.select("step", "rows", "seconds").unionByName(export)
     share = ratio(F.col("seconds"), F.sum("seconds").over(W.partitionBy()))

@@ -133,6 +133,22 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.table_profile(read_table(spark, sf_dir, "lineitem")).select("rows", "columns")
 
 
+# Spark names of the column types of the table that is listed.
+_TYPE_NAMES = {
+    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "DATE": "date"
+}
+
+
+@query(
+    "column_types",
+    "select (row_number() over () - 1)::int as position, column_name as \"column\", case column_type "
+    + " ".join(f"when '{sql}' then '{name}'" for sql, name in _TYPE_NAMES.items())
+    + " end as type from (describe lineitem)",
+)
+def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract.column_types(read_table(spark, sf_dir, "lineitem"))
+
+
 @query(
     "metrics_json",
     with_views(
