@@ -106,5 +106,4 @@ class ReportParams:
     min_point: float = 10.0
     point_range: float = 50.0
     top_features: int = 12
-    listed_features: int = 20
     cell_width: int = 30

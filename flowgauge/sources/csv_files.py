@@ -20,13 +20,16 @@ def scan_csv(
     path: str | Sequence[str],
     schema: T.StructType | None = None,
     strict_header: bool = False,
+    doubled_quotes: bool = False,
 ) -> DataFrame:
     """Directory scan with header lines; columns map by position.
 
     Without a schema the types are inferred, which reads the files once more.
-    `strict_header` raises where a file's header differs from the schema.
+    `strict_header` raises where a file's header differs from the schema. A quote
+    inside a quoted value is escaped by a backslash, or by doubling it.
     """
     reader = spark.read.option("header", True).option("enforceSchema", not strict_header)
+    reader = reader.option("escape", '"' if doubled_quotes else "\\")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path if isinstance(path, str) else list(path))
 
@@ -94,19 +97,23 @@ def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def read_text_by_name(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """All CSV files under path, combined by normalised column name, as text.
 
-    Columns a file lacks become null. There is one scan per distinct header, not
-    per file. The driver holds the file names, as it does for any file scan.
+    Columns a file lacks become null. Empty files are left out; a blank header
+    line is an error.
+    There is one scan per distinct header, not per file. The driver holds the
+    file names, as it does for any file scan.
     """
     groups: dict[str, list[str]] = {}
     for file in file_headers(spark, path).toLocalIterator():
         groups.setdefault(file["header"], []).append(file["path"])
     if not groups:
         raise FileNotFoundError(f"no CSV files under {path}")
+    if "" in groups:
+        raise ValueError(f"no header line in {', '.join(sorted(groups['']))}")
     parts = []
     for header in sorted(groups):
         names = _unique_names(next(csv.reader([header])))
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        parts.append(scan_csv(spark, sorted(groups[header]), text))
+        parts.append(scan_csv(spark, sorted(groups[header]), text, doubled_quotes=True))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 
 from flowgauge.operators.cleaning import clean
 from flowgauge.operators.forests import score_ensemble
-from flowgauge.operators.voting import with_vote
 from flowgauge.params import CleanParams
 
 

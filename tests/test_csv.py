@@ -57,6 +57,20 @@ def test_no_files_is_an_error(spark, tmp_path):
         csv_files.read_by_name(spark, str(tmp_path / "none"))
 
 
+def test_file_without_header_is_an_error(spark, tmp_path):
+    _write(tmp_path / "n", "a.csv", "i\n1\n")
+    _write(tmp_path / "n", "empty.csv", "")
+    assert csv_files.read_by_name(spark, str(tmp_path / "n")).count() == 1
+    _write(tmp_path / "n", "blank.csv", "\n1\n")
+    with pytest.raises(ValueError, match="blank.csv"):
+        csv_files.read_by_name(spark, str(tmp_path / "n"))
+
+
+def test_quoted_values(spark, tmp_path):
+    _write(tmp_path / "n", "a.csv", 's,i\n"say ""hi"", you",1\n')
+    assert [tuple(r) for r in csv_files.read_by_name(spark, str(tmp_path / "n")).collect()] == [('say "hi", you', 1)]
+
+
 def test_strict_scan_refuses_another_header(spark, folder):
     text = T.StructType([T.StructField(n, T.StringType()) for n in ("flow_id", "bytes_s", "label")])
     with pytest.raises(Exception, match="(?i)header"):
