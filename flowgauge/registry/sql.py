@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from flowgauge.functions import markup
-from flowgauge.registry.views import MEMBERS, WRONG_PERCENT
+from flowgauge.registry.views import MEMBERS, WRONG_BASE, WRONG_STEP
 
 
 def _bits(text: str) -> str:
@@ -56,11 +56,13 @@ VIEWS = {
                count(*) as "count"
         from flows group by label""",
     "members": f"""
-        select f.flow_id, f.label, c.label_index, m.i as model,
-               case when {_bits("m.i || '|' || f.flow_id")} % 100 < {WRONG_PERCENT}
-                    then ((c.label_index + 1)::bigint % (select count(*) from classes))::double
-                    else c.label_index end as pred
-        from flows f join classes c using (label) cross join range({MEMBERS}) m(i)""",
+        select flow_id, label, label_index, model,
+               case when draw < {WRONG_BASE} + {WRONG_STEP} * label_index
+                    then ((label_index::bigint + 1 + draw % 2) % (select count(*) from classes))::double
+                    else label_index end as pred
+        from (select f.flow_id, f.label, c.label_index, m.i as model,
+                     {_bits("m.i || '|' || f.flow_id")} % 100 as draw
+              from flows f join classes c using (label) cross join range({MEMBERS}) m(i))""",
     "voted": """
         select flow_id, label, label_index, pred as final_prediction
         from (select *, row_number() over (partition by flow_id order by n desc, place) as choice

@@ -24,7 +24,10 @@ CLASSES = ("benign", "flood", "scan", "slow", "brute", "botnet")
 CAPS = {"benign": 500, "flood": 500, "scan": 500}
 SEED = 42
 MEMBERS = 10
-WRONG_PERCENT = 12
+# Percent of flows a member gets wrong: the base, and more with each class index,
+# so that rarer classes see split votes, ties and lost votes.
+WRONG_BASE = 12
+WRONG_STEP = 8
 TEST_SHARE = 0.2
 FOLDS = 5
 KEY = "flow_id"
@@ -96,7 +99,7 @@ def members() -> list[str]:
 
 
 def scored(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame:
-    """Flows with ten member predictions, each wrong on about 12 percent of them."""
+    """Flows with ten member predictions, wrong ones being one of the next two classes."""
     names = class_rows.select(
         "label", "label_index", F.count(F.lit(1)).over(W.partitionBy()).cast("double").alias("n_classes")
     )
@@ -106,7 +109,8 @@ def scored(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame
     preds = []
     for i, name in enumerate(members()):
         draw = hash_number(F.md5(F.concat_ws("|", F.lit(str(i)), F.col("flow_id").cast("string")))) % 100
-        preds.append(F.when(draw < WRONG_PERCENT, (index + 1) % F.col("n_classes")).otherwise(index).alias(name))
+        wrong = (index + 1 + draw % 2) % F.col("n_classes")
+        preds.append(F.when(draw < WRONG_BASE + WRONG_STEP * index, wrong).otherwise(index).alias(name))
     return indexed.select("flow_id", "label", "label_index", *preds)
 
 
