@@ -17,11 +17,11 @@ from flowgauge.params import NULL_LABEL
 
 def label_counts(df: DataFrame, label: str = "label") -> DataFrame:
     """Rows per class, most frequent first, ties by name."""
-    return (
-        df.groupBy(F.col(label).alias("label"))
-        .agg(F.count(F.lit(1)).alias("count"))
-        .orderBy(F.desc("count"), "label")
-    )
+    return _class_sizes(df, label).orderBy(F.desc("count"), "label")
+
+
+def _class_sizes(df: DataFrame, label: str) -> DataFrame:
+    return df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("count"))
 
 
 def class_table(df: DataFrame, label: str = "label") -> DataFrame:
@@ -31,7 +31,7 @@ def class_table(df: DataFrame, label: str = "label") -> DataFrame:
     counted, and the index is by definition one order over all classes.
     """
     order = W.orderBy(F.desc("count"), "label")
-    return label_counts(df.filter(F.col(label).isNotNull()), label).select(
+    return _class_sizes(df.filter(F.col(label).isNotNull()), label).select(
         "label", (F.row_number().over(order) - 1).cast("double").alias("label_index"), "count"
     )
 
@@ -59,7 +59,7 @@ def keep_ratio(df: DataFrame, caps: Mapping[str, int], label: str = "label") ->
 
     Balancing keeps exactly min(cap, n) rows of a class, so class counts suffice.
     """
-    sizes = df.groupBy(F.col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    sizes = _class_sizes(df, label).withColumnRenamed("count", "n")
     cap = F.col("n")
     for name, value in caps.items():
         cap = F.when(F.col("label") == name, F.least("n", F.lit(value).cast("bigint"))).otherwise(cap)
