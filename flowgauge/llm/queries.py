@@ -1,6 +1,6 @@
 """All named queries of this subpackage."""
 
-from flowgauge.llm import histogram_sort  # noqa: F401
+from flowgauge.llm import histogram_sort, simhash_bktree  # noqa: F401
 from flowgauge.llm.entry import QUERIES
 
 __all__ = ["QUERIES"]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +27,20 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_STEP), -1, 2**64))
 
 
-@lru_cache(maxsize=2)
+_KEPT: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(
+    """Powers of the base and of its inverse; those of a whole piece are kept."""
+    if size in _KEPT:
+        return _KEPT[size]
+    made = tuple(
         np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base, np.uint64)]))
         for base in (_STEP, _BACK)
     )
+    if size == PIECE:
+        _KEPT[size] = made
+    return made
 
 
 def mix(x: np.ndarray) -> np.ndarray:
