@@ -60,10 +60,10 @@ def follow(context: np.ndarray, word: np.ndarray) -> np.ndarray:
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and the offsets of its texts; a null is empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if pa.types.is_string(column.type):
-        column = column.cast(pa.large_string())
+    if not pa.types.is_large_binary(column.type) and not pa.types.is_large_string(column.type):
+        column = column.cast(pa.large_binary())
     if column.null_count:
-        column = column.fill_null("")
+        column = column.fill_null(b"" if pa.types.is_large_binary(column.type) else "")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     whole = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
@@ -136,3 +136,34 @@ def expand(start: np.ndarray, length: np.ndarray) -> np.ndarray:
         return np.empty(0, np.int64)
     skipped = np.cumsum(length) - length
     return np.arange(total, dtype=np.int64) + np.repeat(start.astype(np.int64) - skipped, length)
+
+
+def joined_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of all words, each followed by one space, and where each word starts and ends in them."""
+    length = words.end - words.start + 1
+    joined = np.append(words.data, np.uint8(32))[expand(words.start, length)]
+    end = np.cumsum(length)
+    joined[end - 1] = 32
+    return joined, end - length, end - 1
+
+
+def word_numbers(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each word, equal for equal bytes only, and the hash of each number's word."""
+    length = words.end - words.start
+    data = words.data[expand(words.start, length)]
+    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    column = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+    coded = column.dictionary_encode()
+    numbers = coded.indices.to_numpy(zero_copy_only=False)
+    data, offsets = text_bytes(coded.dictionary)
+    return numbers, span_hashes(data, offsets[:-1], offsets[1:])
+
+
+def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
+    """The hash of each run of `width` neighbouring items."""
+    if len(hashes) < width:
+        return np.empty(0, np.uint64)
+    out = np.zeros(len(hashes) - width + 1, np.uint64)
+    for i, power in enumerate(_powers(width)[0]):
+        out += hashes[i : i + len(out)] * power
+    return mix(out)
