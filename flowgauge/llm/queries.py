@@ -1,6 +1,6 @@
 """All named queries of this subpackage."""
 
-from flowgauge.llm import histogram_sort, rank_queue_bpe, simhash_bktree, super_kmers  # noqa: F401
+from flowgauge.llm import histogram_sort, positional_index, rank_queue_bpe, simhash_bktree, super_kmers  # noqa: F401
 from flowgauge.llm.entry import QUERIES
 
 __all__ = ["QUERIES"]
