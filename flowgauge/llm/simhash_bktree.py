@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.llm.components import local_components, star_components
 from flowgauge.llm.entry import query, table
-from flowgauge.llm.words import LOWER, expand, slices, split_words, text_bytes
+from flowgauge.llm.words import LOWER, expand, joined_words, pieces, split_words, text_bytes
 from flowgauge.sources.scratch import written
 
 SHINGLE = 4
@@ -57,11 +57,7 @@ SEARCH_PAIRS = 1 << 21
 def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The fingerprint of each text; bytes are lower-cased already."""
     words = split_words(data, offsets)
-    length = words.end - words.start + 1
-    joined = np.append(data, np.uint8(32))[expand(words.start, length)]
-    stop = np.cumsum(length)
-    joined[stop - 1] = 32
-    start, stop = stop - length, stop - 1
+    joined, start, stop = joined_words(words)
 
     counts = np.diff(words.first)
     shingles = np.where(counts >= SHINGLE, counts - SHINGLE + 1, np.minimum(counts, 1))
@@ -84,13 +80,9 @@ def fingerprints(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in pieces(batches, TEXT_BYTES):
         data, offsets = text_bytes(batch.column("text"))
-        parts = [
-            fingerprints(LOWER[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a])
-            for a, b in slices(offsets, TEXT_BYTES)
-        ]
-        prints = np.concatenate(parts) if parts else np.empty(0, np.uint64)
+        prints = fingerprints(LOWER[data], offsets)
         yield pa.RecordBatch.from_arrays([batch.column("at"), batch.column("id"), pa.array(prints.view(np.int64))], ["at", "id", "fp"])
 
 

@@ -30,13 +30,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.llm.entry import query, table
-from flowgauge.llm.words import Words, expand, joined_words, split_words, text_bytes, window_hashes, word_numbers
+from flowgauge.llm.words import Words, expand, joined_words, pieces, split_words, text_bytes, window_hashes, word_numbers
 
 WIDTH = 20
 MINIMISER = 3
 BLOCK_BYTES = 12 << 20
 BUCKETS_PER_PARTITION = 4
 COMPARED = 1 << 18
+KEEP_BYTES = 1 << 20
 
 PACKED = "bucket int, at binary, id binary, start binary, words binary, later binary"
 RANGES = "at long, start int, stop int"
@@ -203,7 +204,7 @@ def _bucket_ranges(width: int):
 
 def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts without the words in their ranges, the others joined by one space."""
-    for batch in batches:
+    for batch in pieces(batches, KEEP_BYTES):
         words = split_words(*text_bytes(batch.column("text")))
         ranges = batch.column("ranges")
         owner = np.repeat(np.arange(batch.num_rows), np.diff(ranges.offsets.to_numpy()))

@@ -91,14 +91,12 @@ def split_words(data: np.ndarray, offsets: np.ndarray, members: np.ndarray = WOR
     inside = members[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
-    before = np.empty(len(data), bool)
-    before[:1] = False
-    before[1:] = inside[:-1]
-    start = np.flatnonzero(inside & (edge[:-1] | ~before))
-    after = np.empty(len(data), bool)
-    after[-1:] = False
-    after[:-1] = inside[1:]
-    end = np.flatnonzero(inside & (edge[1:] | ~after)) + 1
+    edge[-1] = True
+    change = np.ones(len(data) + 1, bool)
+    np.not_equal(inside[1:], inside[:-1], out=change[1:-1])
+    change |= edge
+    start = np.flatnonzero(inside & change[:-1])
+    end = np.flatnonzero(inside & change[1:]) + 1
     return Words(data, start, end, np.searchsorted(start, offsets))
 
 
@@ -129,6 +127,14 @@ def slices(offsets: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
         at = to
 
 
+def pieces(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """The batches cut, between rows, to about `most` bytes of text; one longer text stands alone."""
+    for batch in batches:
+        _, offsets = text_bytes(batch.column(column))
+        for a, b in slices(offsets, most):
+            yield batch.slice(a, b - a)
+
+
 def expand(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... for length[0] numbers, then the same of start[1], ..."""
     total = int(length.sum())
@@ -138,10 +144,23 @@ def expand(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(start.astype(np.int64) - skipped, length)
 
 
+def gather(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The bytes of all spans one after the other, a piece at a time."""
+    stop = np.cumsum(length)
+    out = np.empty(int(stop[-1]) if len(stop) else 0, np.uint8)
+    at = 0
+    while at < len(start):
+        done = int(stop[at - 1]) if at else 0
+        to = max(at + 1, int(np.searchsorted(stop, done + PIECE, "right")))
+        out[done : stop[to - 1]] = data[expand(start[at:to], length[at:to])]
+        at = to
+    return out
+
+
 def joined_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all words, each followed by one space, and where each word starts and ends in them."""
     length = words.end - words.start + 1
-    joined = np.append(words.data, np.uint8(32))[expand(words.start, length)]
+    joined = gather(np.append(words.data, np.uint8(32)), words.start, length)
     end = np.cumsum(length)
     joined[end - 1] = 32
     return joined, end - length, end - 1
@@ -150,7 +169,7 @@ def joined_words(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def word_numbers(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """A number for each word, equal for equal bytes only, and the hash of each number's word."""
     length = words.end - words.start
-    data = words.data[expand(words.start, length)]
+    data = gather(words.data, words.start, length)
     offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
     column = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     coded = column.dictionary_encode()
