@@ -11,7 +11,8 @@ A phrase is looked up from its rarest term: that term's postings, shifted by its
 offset, are the candidate starts. They are intersected with the shifted postings
 of the second rarest term, and what is left with those of all other terms. So
 frequent words are joined only where two rare ones already stand at the right
-distance. Proximity matches take the same road with ranges for distances.
+distance. The postings are streamed past a hash table of what is wanted, dealt by
+term, document and position, at every size alike. Proximity matches take the same road with ranges for distances.
 
 The vocabulary and the phrases come from the benchmark; Spark broadcasts them
 below its own size bound and shuffles the join beyond it.
@@ -106,12 +107,11 @@ def exact_matches(index: DataFrame, ranked: DataFrame) -> DataFrame:
     second = shifted.where("rank = 2").select("phrase", "term", "move")
     wanted = starts.where("size > 1").join(second, "phrase").withColumn("pos", F.col("start") + F.col("move"))
     rare = postings.join(second.select("term").distinct(), "term", "left_semi")
-    pairs = written(rare.join(wanted, ["term", "at", "pos"]).select("at", "phrase", "start", "size"), "phrase-pairs")
+    pairs = written(rare.join(wanted.hint("shuffle_hash"), ["term", "at", "pos"]).select("at", "phrase", "start", "size"), "phrase-pairs")
     others = shifted.where("rank > 2").select("phrase", "term", "move")
     expected = pairs.where("size > 2").join(others, "phrase").withColumn("pos", F.col("start") + F.col("move"))
-    near = postings.join(pairs.select("at").distinct(), "at", "left_semi")
     full = (
-        near.join(expected, ["term", "at", "pos"])
+        postings.join(expected.hint("shuffle_hash"), ["term", "at", "pos"])
         .groupBy("at", "phrase", "start", "size")
         .count()
         .where("count = size - 2")
