@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,7 +203,7 @@ def _bucket_ranges(width: int):
     return find
 
 
-def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _keep(batches: Iterator[pa.RecordBatch], as_written: bool) -> Iterator[pa.RecordBatch]:
     """Texts without the words in their ranges, the others joined by one space."""
     for batch in pieces(batches, KEEP_BYTES):
         words = split_words(*text_bytes(batch.column("text")))
@@ -221,37 +222,53 @@ def _keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw = joined.tobytes()
         texts = [raw[begin[a] : end[b - 1]] if b > a else b"" for a, b in zip(counts[:-1].tolist(), counts[1:].tolist())]
         n_words = np.diff(words.first)
+        kept_texts = pa.array(texts, pa.binary()).cast(pa.string())
+        if as_written:
+            whole = n_words == np.diff(counts)
+            kept_texts = pc.if_else(pa.array(whole), batch.column("text").cast(pa.string()), kept_texts)
         yield pa.RecordBatch.from_arrays(
             [
+                batch.column("row"),
                 batch.column("at"),
                 batch.column("id"),
-                pa.array(texts, pa.binary()).cast(pa.string()),
+                kept_texts,
                 pa.array(n_words.astype(np.int64)),
                 pa.array((n_words - np.diff(counts)).astype(np.int64)),
             ],
-            ["at", "id", "kept", "n_words", "n_removed"],
+            ["row", "at", "id", "kept", "n_words", "n_removed"],
         )
 
 
-def drop_repeats(df: DataFrame, width: int = WIDTH, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """Per row: at (its position in the read), id, kept (the text without repeats), n_words, n_removed."""
+def drop_repeats(
+    df: DataFrame, width: int = WIDTH, text: str = "text", row_id: str = "doc_id", as_written: bool = False
+) -> DataFrame:
+    """Per row: row (its other columns), at (its position in the read), id, kept (the text without repeats), n_words, n_removed.
+
+    Kept words are joined by one space; as_written leaves a text that keeps all of them as it was.
+    """
     named = df.select(
+        F.struct(*[c for c in df.columns if c != text]).alias("row"),
         F.monotonically_increasing_id().alias("at"),
         F.col(row_id).cast("long").alias("id"),
         F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     buckets = BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = named.mapInArrow(_packer(buckets, width), PACKED)
+    packed = named.select("at", "id", "text").mapInArrow(_packer(buckets, width), PACKED)
     ranges = packed.groupBy("bucket").applyInArrow(_bucket_ranges(width), RANGES)
     per_text = ranges.groupBy("at").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
     none = F.array().cast("array<struct<start:int,stop:int>>")
-    covered = named.join(per_text, "at", "left").select("at", "id", "text", F.coalesce("ranges", none).alias("ranges"))
-    return covered.mapInArrow(_keep, "at long, id long, kept string, n_words long, n_removed long")
+    covered = named.join(per_text, "at", "left").select("row", "at", "id", "text", F.coalesce("ranges", none).alias("ranges"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _keep(batches, as_written)
+
+    row = named.schema["row"].dataType.simpleString()
+    return covered.mapInArrow(keep, f"row {row}, at long, id long, kept string, n_words long, n_removed long")
 
 
 @query("op8_super_kmers")
 def op8(spark, sf_dir):
-    found = drop_repeats(table(spark, sf_dir, "documents"))
+    found = drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select(
         F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept"), 256).alias("kept_sha256")
     )
