@@ -333,7 +333,7 @@ def _context_sums(row: dict, unigrams: Unigrams, discounts: Discounts) -> tuple[
     counts, known = unpack(row["counts"], np.int64), unpack(row["known"], np.uint64).astype(np.int64)
     which = np.repeat(np.arange(len(firsts)), fans)
     sums = [np.bincount(which, x, len(firsts)) for x in (counts, discounts.mass(counts), unigrams.probability(known))]
-    return firsts, np.stack(sums)
+    return firsts, np.stack(sums).astype(np.float64)  # without a pair, sums are whole numbers
 
 
 def _alpha(sums: np.ndarray) -> np.ndarray:

@@ -44,7 +44,7 @@ PAGE_BYTES = 1 << 20
 
 # Names of HTML elements and of common parts of web pages.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style textarea title xmp iframe noembed noframes".split())
+RAW = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in "script style textarea title xmp iframe noembed noframes".split()}
 UNSEEN = set(
     "head script style noscript template title textarea iframe svg math object audio video canvas map "
     "nav footer aside form button select option datalist dialog menu label fieldset".split()
@@ -126,12 +126,9 @@ def page_lines(page: str) -> list[Line]:
             while marks and marks[-1] >= height:
                 marks.pop()
 
-    at, raw_end = 0, None
-    for tag in TAG.finditer(page):
-        if raw_end is not None:
-            if not (tag.group(1) and tag.group(2).lower() == raw_end):
-                continue
-        elif tag.start() > at and not unseen:
+    at = 0
+    while tag := TAG.search(page, at):
+        if tag.start() > at and not unseen:
             text.append(page[at : tag.start()])
         at = tag.end()
         name = tag.group(2)
@@ -143,7 +140,6 @@ def page_lines(page: str) -> list[Line]:
         elif name == "br":
             text.append(" ")
         if tag.group(1):
-            raw_end = None
             for height in range(len(stack) - 1, -1, -1):
                 if stack[height] == name:
                     close(height)
@@ -163,9 +159,10 @@ def page_lines(page: str) -> list[Line]:
             mains.append(height)
         if name in OWN:
             owns.append(height)
-        if name in RAW:
-            raw_end = name
-    if raw_end is None and not unseen:
+        if name in RAW:  # markup in it is no markup
+            end = RAW[name].search(page, at)
+            at = end.start() if end else len(page)
+    if not unseen:
         text.append(page[at:])
     flush()
     return lines

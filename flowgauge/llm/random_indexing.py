@@ -40,7 +40,7 @@ SHRINK = 10.0
 GROUPS = 32
 TRAIN_ROWS = 20_000
 HIDDEN = 32
-EPOCHS = 150
+EPOCHS = 40
 PIECE_BYTES = 1 << 21
 
 FOLDS, HELD_OUT, CALIBRATION = 4, 2, 5
