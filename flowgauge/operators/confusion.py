@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions.measures import percent, ratio
 
+OTHER = "other"
+
 
 def confusion_long(scored: DataFrame, actual: str = "label_index", predicted: str = "final_prediction") -> DataFrame:
     """(label_index, final_prediction, count); combinations that never occur are absent."""
@@ -130,30 +132,60 @@ def named_confusion(confusion: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def confusion_matrix(confusion: DataFrame, classes: DataFrame, labels: Sequence[str]) -> DataFrame:
-    """One row per class, one column per predicted class, zeros filled in."""
+    """One row per class, one column per predicted class, zeros filled in.
+
+    Predictions of any other class are summed in a column OTHER, and rows of a
+    class that the class table has not get a row of their own under their index,
+    so the cells of a row always add up to its support.
+    """
     named = named_confusion(confusion, classes)
     cells = [F.sum(F.when(F.col("predicted") == x, F.col("count"))).alias(x) for x in labels]
-    dense = named.groupBy(F.col("actual").alias("label")).agg(*cells)
-    filled = [F.coalesce(F.col(f"`{x}`"), F.lit(0).cast("bigint")).alias(x) for x in labels]
-    return classes.select("label", "label_index").join(dense, "label", "left").select("label", "label_index", *filled)
+    other = F.sum(F.when(~F.col("predicted").isin(*labels), F.col("count"))).alias(OTHER)
+    dense = named.groupBy("label_index", F.col("actual").alias("other_label")).agg(*cells, other)
+    filled = [F.coalesce(F.col(f"`{x}`"), F.lit(0).cast("bigint")).alias(x) for x in (*labels, OTHER)]
+    joined = classes.select("label", "label_index").join(dense, "label_index", "full")
+    return joined.select(F.coalesce("label", "other_label").alias("label"), "label_index", *filled)
 
 
 def prediction_scores(scored: DataFrame, predictions: Sequence[str]) -> DataFrame:
     """(model, f1_score): weighted F1 of each prediction column, from one pass."""
+    return _pattern_scores(vote_patterns(scored, predictions), predictions)
+
+
+def vote_patterns(scored: DataFrame, predictions: Sequence[str]) -> DataFrame:
+    """(label_index, the predictions, count): how often each pattern of predictions occurs.
+
+    Counted on the map side, it is what every measure of these columns needs of
+    the scored rows.
+    """
+    return scored.groupBy("label_index", *predictions).agg(F.count(F.lit(1)).alias("count"))
+
+
+def _pattern_scores(patterns: DataFrame, predictions: Sequence[str]) -> DataFrame:
     cases = F.array(
         *[F.struct(F.lit(name).alias("model"), F.col(name).alias("final_prediction")) for name in predictions]
     )
-    long = scored.select("label_index", F.inline(cases))
-    counted = long.groupBy("model", "label_index", "final_prediction").agg(F.count(F.lit(1)).alias("count"))
+    long = patterns.select("label_index", "count", F.inline(cases))
+    counted = long.groupBy("model", "label_index", "final_prediction").agg(F.sum("count").alias("count"))
     return global_metrics(counted, "model").select("model", "f1_score")
 
 
+def confusion_of_patterns(patterns: DataFrame, predicted: str = "final_prediction") -> DataFrame:
+    """The confusion table of one prediction column, from counted patterns."""
+    return patterns.groupBy("label_index", F.col(predicted).alias("final_prediction")).agg(F.sum("count").alias("count"))
+
+
 def member_scores(scored: DataFrame, members: Sequence[str], vote: str = "final_prediction") -> DataFrame:
-    """Weighted F1 of each member and of the vote, with the vote's gain in points.
+    """Weighted F1 of each member and of the vote, with the vote's gain in points."""
+    return member_scores_of_patterns(vote_patterns(scored, [*members, vote]), members, vote)
+
+
+def member_scores_of_patterns(patterns: DataFrame, members: Sequence[str], vote: str = "final_prediction") -> DataFrame:
+    """The same from counted patterns.
 
     `gain_points` compares the vote with the worst member; it is null for members.
     """
-    scores = prediction_scores(scored, [*members, vote])
+    scores = _pattern_scores(patterns, [*members, vote])
     worst = F.min(F.when(F.col("model") != vote, F.col("f1_score"))).over(W.partitionBy())
     gain = (F.col("f1_score") - worst) * 100.0
     return scores.select("model", "f1_score", F.when(F.col("model") == vote, gain).alias("gain_points"))

@@ -84,15 +84,19 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """Row count and an order-independent digest of the listed columns.
 
     The digest sums 32 bits of each row's md5, so it aggregates on the map side
-    and does not depend on order or partitioning.
+    and does not depend on order or partitioning. Each value stands after its
+    length, so no two rows are written alike; a null has a mark of its own, and
+    a time is written as microseconds, whatever the session's zone.
     """
+    fields = {f.name: f.dataType for f in df.schema.fields}
     names = list(columns) if columns is not None else df.columns
-    row = F.md5(F.concat_ws("|", *[_shown(F.col(f"`{n}`")) for n in names]))
+    row = F.md5(F.concat(*[_shown(F.col(f"`{n}`"), fields.get(n)) for n in names]))
     return df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(hash_number(row).cast("decimal(28,0)")), F.lit(0)).cast("string").alias("digest"),
     )
 
 
-def _shown(value: Column) -> Column:
-    return F.coalesce(value.cast("string"), F.lit("\\N"))
+def _shown(value: Column, kind: T.DataType | None) -> Column:
+    text = (F.unix_micros(value) if isinstance(kind, T.TimestampType) else value).cast("string")
+    return F.coalesce(F.concat(F.char_length(text).cast("string"), F.lit(":"), text), F.lit("-"))

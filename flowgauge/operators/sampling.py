@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from flowgauge.functions.hashing import HASH_SPAN, hash_bucket, hash_number, hash_text
 from flowgauge.operators.cleaning import labelled
 
-PERCENT = 100
-
 
 def balance(
     df: DataFrame,
@@ -54,7 +52,9 @@ def class_cutoffs(
     The cap-th smallest of n uniform hashes lies near cap / n of the hash span.
     Rows clearly below are only counted; those in a band of about six standard
     deviations around it, a number that grows with the root of the cap, are
-    ranked. Should the band miss, it is widened until it holds the row.
+    ranked. Should the band miss, the classes are counted anew, as the given
+    counts may be wrong, and the band is widened. A band of the whole span that
+    misses shows a class at or under its cap, all of whose rows are kept.
     """
     counts = counts if counts is not None else _class_sizes(df, caps, label)
     wanted = {c: cap for c, cap in caps.items() if 0 < cap < counts.get(c, 0)}
@@ -63,7 +63,9 @@ def class_cutoffs(
     while wanted:
         bands = {c: _band(cap, counts[c], spread) for c, cap in wanted.items()}
         found.update(_ranked_in_band(df, wanted, bands, key, seed, label))
-        wanted = {c: cap for c, cap in wanted.items() if c not in found}
+        missed = {c: cap for c, cap in wanted.items() if c not in found and bands[c] != (0, HASH_SPAN)}
+        counts = _class_sizes(df, missed, label) if missed else {}
+        wanted = {c: cap for c, cap in missed.items() if cap < counts.get(c, 0)}
         spread *= 8
     return found
 
@@ -145,7 +147,12 @@ def union_all(*tables: DataFrame) -> DataFrame:
 
 
 def is_test_row(key: str, share: float, seed: int) -> Column:
-    return hash_bucket(seed, PERCENT, key) < F.lit(round(PERCENT * share))
+    """Whether the row's 32-bit draw lies below the share of the hash span."""
+    return hash_number(hash_text(seed, key)) < F.lit(test_bound(share)).cast("bigint")
+
+
+def test_bound(share: float) -> int:
+    return round(HASH_SPAN * share)
 
 
 def split(df: DataFrame, key: str, share: float, seed: int) -> tuple[DataFrame, DataFrame]:

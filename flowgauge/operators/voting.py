@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,9 +44,12 @@ def line_up_votes(members: Sequence[DataFrame], key: str, prediction: str = "pre
 def votes_wide(long: DataFrame, key: str, members: int) -> DataFrame:
     """(key, model, pred) rows as one row per key with pred_0.. columns.
 
-    The key must be unique per model, as a row key is.
+    A key that some member has not scored is left out; one that a member scored
+    twice is an error.
     """
     at = [F.col("model") == i for i in range(members)]
     picked = [F.max(F.when(m, F.col("pred"))).alias(f"pred_{i}") for i, m in enumerate(at)]
-    lined = long.groupBy(key).agg(F.count(F.lit(1)).alias("_scored"), *picked)
-    return lined.filter(F.col("_scored") == members).drop("_scored")
+    scored = [F.count_if(m) for m in at]
+    twice = F.raise_error(F.concat(F.lit(f"{key} is scored twice by one member: "), F.col(key).cast("string"))).cast("boolean")
+    complete = F.when(F.greatest(F.lit(0), *scored) > 1, twice).otherwise(reduce(and_, [n == 1 for n in scored]))
+    return long.groupBy(key).agg(complete.alias("_complete"), *picked).filter("_complete").drop("_complete")

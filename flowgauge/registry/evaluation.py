@@ -72,7 +72,8 @@ def named_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
         + ", ".join(
             f"""coalesce(sum(f."count") filter (where p.label = '{x}'), 0)::bigint as "{x}" """ for x in v.CLASSES
         )
-        + """ from classes c left join confusion f on f.label_index = c.label_index
+        + """, coalesce(sum(f."count") filter (where p.label is null), 0)::bigint as other
+              from classes c left join confusion f on f.label_index = c.label_index
               left join classes p on p.label_index = f.final_prediction group by c.label, c.label_index""",
         "confusion",
     ),

@@ -10,14 +10,14 @@ from flowgauge.operators import sampling as ops
 from flowgauge.plans.reports import top_importances
 from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
-from flowgauge.registry.sql import bucket, digest, with_views
+from flowgauge.registry.sql import below, bucket, digest, with_views
 
 _CAP = "case label " + " ".join(f"when '{c}' then {n}" for c, n in v.CAPS.items()) + " end"
 _RANKED = f"""
     select flow_id, label, row_number() over (partition by label order by {digest(v.SEED)}, flow_id::varchar) as place,
            {_CAP} as cap
     from {{}} where label <> 'NULL'"""
-_TEST = f"{bucket(v.SEED, 100)} < {round(100 * v.TEST_SHARE)}"
+_TEST = below(v.SEED, v.TEST_SHARE)
 
 
 @query(
@@ -114,7 +114,7 @@ _FINGERPRINT = ("flow_id", "user_id", "event_type", "label")
     "dataset_fingerprint",
     with_views(
         f"""select count(*) as "rows",
-                   sum(('0x' || substr(md5({" || '|' || ".join(f"coalesce({c}::varchar, '{chr(92)}N')" for c in _FINGERPRINT)}),
+                   sum(('0x' || substr(md5({" || ".join(f"coalesce(length({c}::varchar) || ':' || {c}::varchar, '-')" for c in _FINGERPRINT)}),
                                        1, 8))::bigint)::varchar as digest
             from flows""",
         "flows",

@@ -18,6 +18,11 @@ def bucket(seed: object, n: int, key: str = "flow_id") -> str:
     return f"(('0x' || substr({digest(seed, key)}, 1, 8))::bigint % {n})"
 
 
+def below(seed: object, part: float, key: str = "flow_id") -> str:
+    """Whether the 32-bit draw of a row lies below a share of 2 ** 32."""
+    return f"('0x' || substr({digest(seed, key)}, 1, 8))::bigint < {round(part * 2**32)}"
+
+
 def share(part: str, whole: str) -> str:
     return f"coalesce(({part})::double / nullif({whole}, 0), 0)"
 
@@ -148,10 +153,10 @@ def with_views(body: str, *names: str) -> str:
 
 
 def sql_markup(text: str) -> str:
-    """Mark stripping as nested regular-expression replacements."""
-    for mark in (markup.BOLD, markup.ITALIC, markup.CODE):
+    """Mark stripping as nested regular-expression replacements, written out apart from the library's patterns."""
+    for mark in (r"\*\*(.*?)\*\*", r"\*(.*?)\*", r"`(.*?)`"):
         text = f"regexp_replace({text}, '{mark}', '\\1', 'g')"
-    return f"regexp_replace({text}, '{markup.NOT_LATIN1}', '', 'g')"
+    return f"regexp_replace({text}, '[^\\x00-\\x{{FF}}]', '', 'g')"
 
 
 def sql_strip(text: str) -> str:
