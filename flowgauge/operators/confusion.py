@@ -149,7 +149,7 @@ def confusion_matrix(confusion: DataFrame, classes: DataFrame, labels: Sequence[
 
 def prediction_scores(scored: DataFrame, predictions: Sequence[str]) -> DataFrame:
     """(model, f1_score): weighted F1 of each prediction column, from one pass."""
-    return _pattern_scores(vote_patterns(scored, predictions), predictions)
+    return pattern_scores(vote_patterns(scored, predictions), predictions)
 
 
 def vote_patterns(scored: DataFrame, predictions: Sequence[str]) -> DataFrame:
@@ -161,7 +161,8 @@ def vote_patterns(scored: DataFrame, predictions: Sequence[str]) -> DataFrame:
     return scored.groupBy("label_index", *predictions).agg(F.count(F.lit(1)).alias("count"))
 
 
-def _pattern_scores(patterns: DataFrame, predictions: Sequence[str]) -> DataFrame:
+def pattern_scores(patterns: DataFrame, predictions: Sequence[str]) -> DataFrame:
+    """(model, f1_score) of each prediction column, from counted patterns."""
     cases = F.array(
         *[F.struct(F.lit(name).alias("model"), F.col(name).alias("final_prediction")) for name in predictions]
     )
@@ -185,7 +186,7 @@ def member_scores_of_patterns(patterns: DataFrame, members: Sequence[str], vote:
 
     `gain_points` compares the vote with the worst member; it is null for members.
     """
-    scores = _pattern_scores(patterns, [*members, vote])
+    scores = pattern_scores(patterns, [*members, vote])
     worst = F.min(F.when(F.col("model") != vote, F.col("f1_score"))).over(W.partitionBy())
     gain = (F.col("f1_score") - worst) * 100.0
     return scores.select("model", "f1_score", F.when(F.col("model") == vote, gain).alias("gain_points"))

@@ -9,18 +9,21 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowgauge.functions.hashing import hash_bucket
 from flowgauge.jobs import FILES_AT_ONCE, kept, together
-from flowgauge.operators.confusion import prediction_scores
+from flowgauge.operators.confusion import pattern_scores, prediction_scores, vote_patterns
 from flowgauge.operators.sampling import with_fold
 from flowgauge.operators.voting import with_vote
-from flowgauge.params import TrainParams
+from flowgauge.params import LAYOUT, TrainParams
 from flowgauge.sources.scratch import written
 
 LABEL, INDEX, FEATURES = "label", "label_index", "features"
+PLACE = "layout_place"
 PREPARATION = "preparation"
+MANIFEST = "manifest"
 
 
 def fit_indexer(df: DataFrame) -> StringIndexerModel:
@@ -38,20 +41,26 @@ def assembler(features: Sequence[str]) -> VectorAssembler:
 
 
 def model_input(
-    df: DataFrame, features: Sequence[str], indexer: StringIndexerModel, key: str, partitions: int | None = None
+    df: DataFrame, features: Sequence[str], indexer: StringIndexerModel, key: str, layout: int = LAYOUT
 ) -> DataFrame:
-    """Indexed and assembled rows, written once in a fixed layout.
+    """Indexed and assembled rows, written once, with the layout place of each row.
 
-    A forest depends on how its input is laid out; a set number of partitions,
-    each in key order, makes a fit repeat. The number is at least that of the
-    cores, as a fit passes over the table once per tree level; give a higher one
-    for large tables. The written table keeps later fits from recomputing it.
+    The place is drawn from the row key, so it depends on neither the cores nor
+    the splits of a read. Give a larger layout for larger tables: it is the
+    number of tasks of a fit.
     """
-    spark = df.sparkSession
-    least = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     ready = assembler(features).transform(indexer.transform(df))
-    laid_out = ready.repartition(max(partitions or 0, least), F.col(key)).sortWithinPartitions(key)
-    return written(laid_out.select(key, LABEL, INDEX, FEATURES), "model-input")
+    return written(ready.select(key, LABEL, INDEX, FEATURES, hash_bucket("layout", layout, key).cast("int").alias(PLACE)), "model-input")
+
+
+def arranged(train: DataFrame, layout: int = LAYOUT) -> DataFrame:
+    """Training rows laid out by place, each partition in the order of the key.
+
+    A forest draws its samples partition by partition; this order makes a fit
+    repeat on any cluster.
+    """
+    key = train.columns[0]
+    return train.repartitionById(layout, F.col(PLACE)).sortWithinPartitions(key)
 
 
 def forest(params: TrainParams, seed: int) -> RandomForestClassifier:
@@ -62,13 +71,18 @@ def forest(params: TrainParams, seed: int) -> RandomForestClassifier:
 
 def train_ensemble(train: DataFrame, params: TrainParams) -> list[RandomForestClassificationModel]:
     """n_models forests with seeds seed, seed + 1, ..; some are fitted side by side."""
-
-    with kept(train):
+    rows = arranged(train, params.layout)
+    with kept(rows):
         return together(
-            lambda member: forest(params, params.seed + member).fit(train), range(params.n_models), params.parallelism
+            lambda member: forest(params, params.seed + member).fit(rows), range(params.n_models), params.parallelism
         )
 
 
+def train_one(train: DataFrame, params: TrainParams) -> RandomForestClassificationModel:
+    """One forest with the settings' seed."""
+    return forest(params, params.seed).fit(arranged(train, params.layout))
+
+
 @dataclass(frozen=True)
 class GridResult:
     """Mean fold score of each grid point, and the best one fitted on all rows."""
@@ -86,34 +100,54 @@ def grid_points(params: TrainParams) -> list[TrainParams]:
     ]
 
 
-def grid_search(train: DataFrame, key: str, params: TrainParams) -> GridResult:
-    """k-fold cross validation of the tree-count and depth grid on weighted F1.
+def folded(train: DataFrame, key: str, params: TrainParams) -> DataFrame:
+    """The training rows with their fold, written once for all folds."""
+    return written(with_fold(train.select(key, LABEL, INDEX, FEATURES, PLACE), key, params.n_folds, params.seed), "folds")
+
 
-    All grid points of a fold are scored in one pass over its held-out rows,
-    where one evaluator per point would read them once for each.
+def fold_scores(rows: DataFrame, params: TrainParams) -> DataFrame:
+    """(fold, num_trees, max_depth, held_rows, f1) of every grid point on each fold's held-out rows.
+
+    The folds run side by side and each trains its points in turn. All grid
+    points of a fold are scored in one pass over its held-out rows, where one
+    evaluator per point would read them once for each.
     """
-    spark, points = train.sparkSession, grid_points(params)
-    folded = with_fold(train.select(key, INDEX, FEATURES), key, params.n_folds, params.seed)
-    by_name = {f"pred_{i}": p for i, p in enumerate(points)}
-    rows = []
-    for fold in range(params.n_folds):
-        models = fit_points(folded.filter(F.col("fold") != fold), points)
-        held_out = score_members(folded.filter(F.col("fold") == fold), models)
-        rows += [
-            (by_name[r.model].num_trees, by_name[r.model].max_depth, fold, r.f1_score)
-            for r in prediction_scores(held_out, list(by_name)).collect()
-        ]
-    fold_scores = spark.createDataFrame(rows, "num_trees int, max_depth int, fold int, f1 double")
-    scores = fold_scores.groupBy("num_trees", "max_depth").agg(F.avg("f1").alias("f1"))
+    points = grid_points(params)
+    names = pred_columns(points)
+
+    def one(fold: int) -> list[tuple]:
+        models = fit_points(rows.filter(F.col("fold") != fold), [replace(p, parallelism=1) for p in points])
+        held_out = rows.filter(F.col("fold") == fold)
+        patterns = vote_patterns(score_members(held_out, models), names)
+        with kept(patterns):
+            n = patterns.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+            found = {r.model: r.f1_score for r in pattern_scores(patterns, names).collect()}
+        return [(fold, p.num_trees, p.max_depth, n, found[name]) for name, p in zip(names, points)]
+
+    scored = together(one, range(params.n_folds), params.parallelism)
+    return rows.sparkSession.createDataFrame(
+        [r for fold in scored for r in fold], "fold int, num_trees int, max_depth int, held_rows long, f1 double"
+    )
+
+
+def mean_scores(scores: DataFrame) -> DataFrame:
+    """(num_trees, max_depth, f1): the mean over the folds."""
+    return scores.groupBy("num_trees", "max_depth").agg(F.avg("f1").alias("f1"))
+
+
+def grid_search(train: DataFrame, key: str, params: TrainParams) -> GridResult:
+    """k-fold cross validation of the tree-count and depth grid on weighted F1; the best point is fitted on all rows."""
+    scores = mean_scores(fold_scores(folded(train, key, params), params))
     chosen = best_params(scores).first()
     best = replace(params, num_trees=chosen.num_trees, max_depth=chosen.max_depth)
-    return GridResult(scores, best, forest(best, best.seed).fit(train))
+    return GridResult(scores, best, train_one(train, best))
 
 
 def fit_points(train: DataFrame, points: Sequence[TrainParams]) -> list[RandomForestClassificationModel]:
     """One forest per setting, all with the same seed."""
-    with kept(train):
-        return together(lambda p: forest(p, p.seed).fit(train), points, points[0].parallelism)
+    rows = arranged(train, points[0].layout)
+    with kept(rows):
+        return together(lambda p: forest(p, p.seed).fit(rows), points, points[0].parallelism)
 
 
 def best_params(scores: DataFrame) -> DataFrame:
@@ -123,16 +157,14 @@ def best_params(scores: DataFrame) -> DataFrame:
     return scores.agg(best.alias("best")).select("best.*")
 
 
-def test_scores(train: DataFrame, test: DataFrame, params: TrainParams) -> DataFrame:
-    """(num_trees, max_depth, f1): score on the test rows of each grid point."""
-    points = grid_points(params)
-    scored = score_members(test, fit_points(train, points))
+def test_scores(
+    test: DataFrame, points: Sequence[TrainParams], models: Sequence[RandomForestClassificationModel]
+) -> DataFrame:
+    """(num_trees, max_depth, f1): score on the test rows of models fitted with these settings."""
     names = pred_columns(points)
-    settings = train.sparkSession.createDataFrame(
-        [(n, p.num_trees, p.max_depth) for n, p in zip(names, points)], "model string, num_trees int, max_depth int"
-    )
-    by_model = prediction_scores(scored, names).join(F.broadcast(settings), "model")
-    return by_model.select("num_trees", "max_depth", F.col("f1_score").alias("f1"))
+    found = {r.model: r.f1_score for r in prediction_scores(score_members(test, models), names).collect()}
+    rows = [(p.num_trees, p.max_depth, found[n]) for n, p in zip(names, points)]
+    return test.sparkSession.createDataFrame(rows, "num_trees int, max_depth int, f1 double")
 
 
 def score_gap(cv_scores: DataFrame, test_scores: DataFrame) -> DataFrame:
@@ -185,7 +217,8 @@ def save_members(
     """Save the members as model_0.. and, once for all, their index and assembler.
 
     The index is fitted once and saved with the members, so that every later
-    scoring numbers the classes alike.
+    scoring numbers the classes alike. A manifest, written last, holds how many
+    members there are.
     """
     parts = {f"{path}/model_{i}": m for i, m in enumerate(models)}
     parts[f"{path}/{PREPARATION}"] = PipelineModel([for_scoring(indexer), assembler(features)])
@@ -194,13 +227,15 @@ def save_members(
         parts[target].write().overwrite().save(target)
         return target
 
-    return together(save, list(parts), FILES_AT_ONCE)
+    saved = together(save, list(parts), FILES_AT_ONCE)
+    manifest = SparkSession.active().createDataFrame([(len(models),)], "members int")
+    manifest.coalesce(1).write.mode("overwrite").json(f"{path}/{MANIFEST}")
+    return saved
 
 
-def load_members(
-    path: str, members: int
-) -> tuple[StringIndexerModel, VectorAssembler, list[RandomForestClassificationModel]]:
-    """(indexer, assembler, forests) as saved by save_members."""
+def load_members(path: str) -> tuple[StringIndexerModel, VectorAssembler, list[RandomForestClassificationModel]]:
+    """(indexer, assembler, forests) as saved by save_members; all members that its manifest counts."""
+    members = SparkSession.active().read.schema("members int").json(f"{path}/{MANIFEST}").first()["members"]
     readers = [(PipelineModel, PREPARATION)]
     readers += [(RandomForestClassificationModel, f"model_{i}") for i in range(members)]
     (preparation, *models) = together(lambda r: r[0].load(f"{path}/{r[1]}"), readers, FILES_AT_ONCE)

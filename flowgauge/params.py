@@ -57,16 +57,25 @@ SCORE_REST = "critical"
 QUALITY_BANDS = (("green", 99.0), ("blue", 98.0), ("orange", 97.0))
 QUALITY_REST = "red"
 
+# Settings of the published run: grid, folds, ensemble, seed, thresholds.
+GRID_NUM_TREES, GRID_MAX_DEPTH, N_FOLDS = (30, 50, 75, 100), (5, 8, 10, 11), 5
+NUM_TREES, MAX_DEPTH, N_MODELS, SEED, TEST_SHARE = 100, 11, 10, 42, 0.2
+TARGET_SCORE, AXIS_MARGIN, RADAR_FLOOR, RADAR_MARGIN = 98.0, 3.0, 70.0, 5.0
+DEFAULT_VOLUME, MIN_POINT, POINT_RANGE, TOP_FEATURES, CELL_WIDTH = 1000, 10.0, 50.0, 12, 30
+
 # --- End of fixed values ---
 
+# Tasks of a fit; a forest depends on it and on nothing else of the cluster.
+LAYOUT = 32
+
 
 @dataclass(frozen=True)
 class SampleParams:
     """Class caps, the test share and the seed of every hash draw."""
 
     class_limits: Mapping[str, int] = field(default_factory=lambda: dict(CLASS_LIMITS))
-    seed: int = 42
-    test_share: float = 0.2
+    seed: int = SEED
+    test_share: float = TEST_SHARE
     keep_labels: tuple[str, ...] | None = None
 
 
@@ -83,13 +92,14 @@ class CleanParams:
 class TrainParams:
     """Forest grid, folds, best settings and ensemble size."""
 
-    grid_num_trees: tuple[int, ...] = (30, 50, 75, 100)
-    grid_max_depth: tuple[int, ...] = (5, 8, 10, 11)
-    n_folds: int = 5
-    num_trees: int = 100
-    max_depth: int = 11
-    n_models: int = 10
-    seed: int = 42
+    grid_num_trees: tuple[int, ...] = GRID_NUM_TREES
+    grid_max_depth: tuple[int, ...] = GRID_MAX_DEPTH
+    n_folds: int = N_FOLDS
+    num_trees: int = NUM_TREES
+    max_depth: int = MAX_DEPTH
+    n_models: int = N_MODELS
+    seed: int = SEED
+    layout: int = LAYOUT
     parallelism: int = 2
 
 
@@ -98,12 +108,12 @@ class ReportParams:
     """Thresholds of the report tables, in percent unless a share."""
 
     benign: str = BENIGN
-    target_score: float = 98.0
-    axis_margin: float = 3.0
-    radar_floor: float = 70.0
-    radar_margin: float = 5.0
-    default_volume: int = 1000
-    min_point: float = 10.0
-    point_range: float = 50.0
-    top_features: int = 12
-    cell_width: int = 30
+    target_score: float = TARGET_SCORE
+    axis_margin: float = AXIS_MARGIN
+    radar_floor: float = RADAR_FLOOR
+    radar_margin: float = RADAR_MARGIN
+    default_volume: int = DEFAULT_VOLUME
+    min_point: float = MIN_POINT
+    point_range: float = POINT_RANGE
+    top_features: int = TOP_FEATURES
+    cell_width: int = CELL_WIDTH

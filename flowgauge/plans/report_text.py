@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.functions import markup
@@ -28,29 +27,42 @@ def report_lines(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
 
 
 def table_cells(texts: DataFrame, key: str, width: int, text: str = "text") -> DataFrame:
-    """(key, line_no, cell_no, cell, is_header) of every table row.
+    """(key, line_no, cell_no, cell, shown, is_header) of every table row.
 
     A table is a run of lines that start with a bar; the first of them that
-    shows a cell is its header. A cell shows `width` characters. Only table
-    lines are shuffled, to number the lines of each text's tables.
+    shows a cell is its header. `shown` is the first `width` characters of a
+    cell. Tables are cut out of the lines of their text as arrays, so nothing is
+    shuffled.
     """
-    bars = _lines(texts, key, text).filter(F.col("line").startswith("|"))
-    cells = F.when(~markup.is_separator(F.col("line")), markup.shown_cells(F.col("line")))
-    in_text = W.partitionBy(key).orderBy("line_no")
-    rows = bars.select(
-        key, "line_no", cells.alias("cells"), (F.col("line_no") - F.row_number().over(in_text)).alias("table_no")
+    lines = texts.select(key, F.transform(F.split(F.col(text), "\n"), markup.strip_edges).alias("lines"))
+
+    def in_table(place: Column) -> Column:
+        return F.coalesce(F.get("lines", place).startswith("|"), F.lit(False))
+
+    places = F.sequence(F.lit(0), F.size("lines") - 1)
+    first = F.filter(places, lambda i: in_table(i) & ~in_table(i - 1))
+    last = F.filter(places, lambda i: in_table(i) & ~in_table(i + 1))
+    ends = lines.select(key, "lines", F.arrays_zip(first.alias("first"), last.alias("last")).alias("ends"))
+    tables = F.transform(
+        "ends", lambda e: F.struct(e["first"].alias("first"), F.slice("lines", e["first"] + 1, e["last"] - e["first"] + 1).alias("rows"))
     )
-    header = F.min(F.when(F.size("cells") > 0, F.col("line_no"))).over(W.partitionBy(key, "table_no"))
-    shown = rows.withColumn("header", header).select(
+    table = ends.select(key, F.explode(tables).alias("table")).select(key, "table.first", "table.rows")
+    cells = F.transform("rows", lambda line: F.when(~markup.is_separator(line), markup.shown_cells(line)))
+    rows = table.select(key, "first", cells.alias("cells"))
+    header = F.array_position(F.transform("cells", lambda c: F.coalesce(F.size(c) > 0, F.lit(False))), True) - 1
+    row = rows.select(key, "first", header.alias("header"), F.posexplode("cells").alias("place", "cells"))
+    cell = row.select(
         key,
-        "line_no",
-        (F.col("line_no") == F.col("header")).alias("is_header"),
+        (F.col("first") + F.col("place")).cast("bigint").alias("line_no"),
+        (F.col("place") == F.col("header")).alias("is_header"),
         F.posexplode("cells").alias("cell_no", "cell"),
     )
-    return shown.select(
+    whole = cell.withColumn("cell", markup.strip_markup(F.col("cell")))
+    return whole.select(
         key,
         "line_no",
         F.col("cell_no").cast("bigint").alias("cell_no"),
-        F.substring(markup.strip_markup(F.col("cell")), 1, width).alias("cell"),
+        "cell",
+        F.substring("cell", 1, width).alias("shown"),
         "is_header",
     )

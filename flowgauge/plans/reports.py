@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
@@ -19,6 +19,7 @@ from flowgauge.operators.confusion import named_confusion
 from flowgauge.params import (
     QUALITY_BANDS, QUALITY_REST, SCORE_BANDS, SCORE_REST, VOLUME_BANDS, VOLUME_REST, ReportParams,
 )
+from flowgauge.sources.tables import read_report
 
 ALL = "ALL"
 
@@ -235,3 +236,32 @@ def as_long(tables: dict[str, DataFrame], keys: dict[str, Sequence[str]]) -> Dat
 def _key_text(table: DataFrame, name: str) -> Column:
     column = F.col(name)
     return (column.cast("int") if dict(table.dtypes)[name] == "double" else column).cast("string")
+
+
+def report_views(
+    spark: SparkSession, base: str, params: ReportParams, many_missed: int, choice: str | None = None
+) -> dict[str, DataFrame]:
+    """Every report view of a run, from the report tables below its folder."""
+    counts, per_class, confusion, metrics, importances = (
+        read_report(spark, f"{base}/reports", name)
+        for name in ("label_counts", "per_class_metrics", "conf_matrix", "metrics_wide", "feature_importance")
+    )
+    kpis = kpi_summary(counts, per_class, metrics, params)
+    views = {
+        "kpi_summary": kpis,
+        "worst_class": worst_class(per_class),
+        "volume_bands": volume_bands(counts, params, choice),
+        "pr_points": pr_points(per_class, counts, params, choice),
+        "confusion_heat": confusion_heat(confusion, counts),
+        "top_features": top_importances(importances, params.top_features),
+        "radar_profile": radar_profile(per_class, params, choice),
+        "drilldown": drilldown(per_class, choice),
+        "filter_options": filter_options(counts, params),
+        "briefing_context": briefing_context(kpis, per_class),
+        "critical_classes": critical_classes(per_class, params, many_missed),
+        "chat_context": chat_context(kpis, counts, params),
+    }
+    views |= {f"{m}_bands": metric_bands(per_class, params, m, choice) for m in ("f1", "precision", "recall")}
+    if choice not in (None, "", ALL):
+        views["threat_context"] = threat_context(per_class, choice)
+    return views

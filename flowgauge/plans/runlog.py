@@ -17,6 +17,13 @@ RECORD_SCHEMA = "run_id string, kind string, name string, value string"
 EXPORT = "export"
 
 
+class Step:
+    """A running step; set `rows` to log how many it worked on."""
+
+    def __init__(self) -> None:
+        self.rows: int | None = None
+
+
 class StepLog:
     """Wall-clock seconds of each named step of one run."""
 
@@ -25,16 +32,19 @@ class StepLog:
         self._steps: dict[str, tuple[int | None, float]] = {}
 
     @contextmanager
-    def step(self, name: str, rows: int | None = None) -> Iterator[None]:
-        begun = time.monotonic()
-        yield
-        self._steps[name] = (rows, time.monotonic() - begun)
+    def step(self, name: str, rows: int | None = None) -> Iterator[Step]:
+        begun, step = time.monotonic(), Step()
+        step.rows = rows
+        yield step
+        self._steps[name] = (step.rows, time.monotonic() - begun)
 
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(n, r, s) for n, (r, s) in self._steps.items()], LOG_SCHEMA)
 
-    def elapsed(self) -> float:
-        return time.monotonic() - self._started
+    def shares(self, spark: SparkSession) -> DataFrame:
+        """Seconds, share and throughput of each step so far; the rest of the run is the export."""
+        elapsed = time.monotonic() - self._started
+        return step_shares(self.table(spark), spark.range(1).select(F.lit(elapsed).alias("total")))
 
 
 def step_shares(log: DataFrame, total_seconds: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
 from flowgauge.registry.sql import with_views
 from flowgauge.sources import contract, csv_files
-from flowgauge.sources.scratch import fresh_dir
+from flowgauge.sources.scratch import fresh_dir, written
 from flowgauge.sources.tables import read_table, replace_table, write_metrics
 
 _TYPES = T.StructType(
@@ -108,24 +108,40 @@ _EXPECTED = T.StructType(
 )
 
 
-def _schema_sql() -> str:
+def _schema_sql(whole: str) -> str:
+    """Empty text is null in a CSV file."""
     parts = []
+    filled = "nullif({}::varchar, '')"
     for name, kind, sql_type in (
         ("flow_id", "bigint", "bigint"), ("value_txt", "double", "double"),
         ("protocol", "double", "double"), ("label", "string", "varchar"),
     ):
         parts.append(
             f"""select '{name}' as "column", '{kind}' as expected, true as present,
-                       count(*) filter (where {name} is not null and try_cast({name} as {sql_type}) is null) as bad_values,
-                       count(*) filter (where {name} is null) as null_values from dirty"""
+                       count(*) filter (where {whole} and {filled.format(name)} is not null and try_cast({name} as {sql_type}) is null) as bad_values,
+                       count(*) filter (where {whole} and {filled.format(name)} is null) as null_values from dirty"""
         )
-    parts.append("select 'window_bytes', 'double', false, 0::bigint, count(*) from dirty")
+    parts.append("select 'window_bytes', 'double', false, 0::bigint, count(*) filter (where " + whole + ") from dirty")
     return " union all ".join(parts)
 
 
-@query("schema_report", with_views(_schema_sql(), "dirty"))
+_RAGGED = "flow_id % 41"
+_SHAPE = f"""select '(row)' as "column", 'values as in the header' as expected, true as present,
+    count(*) filter (where {_RAGGED} in (1, 2)) as bad_values, 0::bigint as null_values from dirty"""
+
+
+@query("schema_report", with_views(f"{_schema_sql(f'{_RAGGED} not in (1, 2)')} union all {_SHAPE}", "dirty"))
 def schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.schema_report(v.dirty(spark, sf_dir), _EXPECTED)
+    """The check of CSV files some of whose rows have a value too many or too few."""
+    path = fresh_dir(spark, "ragged")
+    place = F.col("flow_id") % 41
+    line = F.concat_ws(",", "flow_id", F.coalesce("value_txt", F.lit("")), "protocol", F.coalesce("label", F.lit("")))
+    lines = v.dirty(spark, sf_dir).select(F.when(place == 1, F.concat(line, F.lit(",9"))).when(place == 2, F.col("flow_id")).otherwise(line).alias("value"))
+    header = spark.createDataFrame([("flow_id,value_txt,protocol,label",)], "value string")
+    # One file, as only its first line is a header.
+    header.withColumn("n", F.lit(0)).unionByName(lines.withColumn("n", F.lit(1))).coalesce(1).sortWithinPartitions("n").select("value").write.text(path + "/in.csv")
+    text = written(csv_files.read_text_by_name(spark, path, corrupt="_corrupt"), "ragged-text")
+    return contract.schema_report(text, _EXPECTED, "_corrupt")
 
 
 @query("table_profile", """select count(*) as "rows", (select count(*) from (describe lineitem)) as "columns" from lineitem""")
@@ -133,22 +149,6 @@ def table_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.table_profile(read_table(spark, sf_dir, "lineitem")).select("rows", "columns")
 
 
-# Spark names of the column types of the table that is listed.
-_TYPE_NAMES = {
-    "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz", "DATE": "date"
-}
-
-
-@query(
-    "column_types",
-    "select (row_number() over () - 1)::int as position, column_name as \"column\", case column_type "
-    + " ".join(f"when '{sql}' then '{name}'" for sql, name in _TYPE_NAMES.items())
-    + " end as type from (describe lineitem)",
-)
-def column_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contract.column_types(read_table(spark, sf_dir, "lineitem"))
-
-
 @query(
     "metrics_json",
     with_views(

@@ -325,7 +325,7 @@ def report_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     "report_table_cells",
     _with_lines(
         f"""select doc_id, line_no, pos - 1 as cell_no,
-                   substr({sql_markup("cells[pos]")}, 1, {v.REPORT.cell_width}) as cell, is_header
+                   {sql_markup("cells[pos]")} as cell, substr({sql_markup("cells[pos]")}, 1, {v.REPORT.cell_width}) as shown, is_header
             from (select doc_id, line_no, cells, unnest(generate_series(1, len(cells))) as pos,
                          line_no = min(line_no) over (partition by doc_id, table_no) as is_header
                   from (select doc_id, line_no, kind, table_no,

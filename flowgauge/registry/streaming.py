@@ -6,16 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.operators import forests
-from flowgauge.operators.voting import with_vote
-from flowgauge.params import CleanParams
+from flowgauge.operators.voting import agreement, with_vote
 from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
 from flowgauge.registry.modelling import Prepared, feature_rows
 from flowgauge.registry.sql import with_views
 from flowgauge.sources.scratch import fresh_dir
-from flowgauge.sources.tables import spread
 from flowgauge.streaming import alerts as ops
 
+
 def arriving(df: DataFrame, spark: SparkSession) -> str:
     """A folder of Parquet files holding all rows of df."""
     path = fresh_dir(spark, "arrivals")
@@ -51,19 +50,54 @@ def _scored_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     models = forests.train_ensemble(data.train, v.TRAIN)
     saved = fresh_dir(spark, "models")
     forests.save_members(models, data.indexer, v.FEATURES, saved)
-    _, assembler, loaded = forests.load_members(saved, len(models))
+    _, assembler, loaded = forests.load_members(saved)
 
-    rows = spread(feature_rows(spark, sf_dir), v.KEY)
+    rows = feature_rows(spark, sf_dir)
     stream = ops.read_flow_stream(spark, arriving(rows, spark), rows.schema)
-    scored = ops.score_stream(stream, loaded, assembler, CleanParams(cast_columns=v.FEATURES), keep=(v.KEY,))
+    scored = ops.score_stream(stream, loaded, assembler, v.KEY, keep=("label",))
     columns = scored.select("flow_id", "label", *forests.pred_columns(models), "final_prediction")
     done = ops.run_to_files(columns, fresh_dir(spark, "scored"), fresh_dir(spark, "scored-progress"))
     return done, forests.score_ensemble(data.table, models)
 
 
-@query("stream_scored")
+@query("stream_scored", with_views("select flow_id, label, true as known from flows where k is not null", "flows"))
 def stream_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored_stream(spark, sf_dir)[0]
+    """Every streamed row, and whether its vote is a class that one of its members named."""
+    scored = _scored_stream(spark, sf_dir)[0]
+    return scored.select("flow_id", "label", (agreement(forests.pred_columns(range(v.TRAIN.n_models))) > 0).alias("known"))
+
+
+@query(
+    "stream_rejects",
+    with_views(
+        """select reason, count(*) as "rows" from (
+             select concat_ws(',', case when not coalesce(isfinite(try_cast(value_txt as double)), false) then 'value' end,
+                                   case when k is null then 'k' end) as reason from dirty)
+           where reason <> '' group by reason
+           union all select 'scored', count(*) from dirty where k is not null and isfinite(try_cast(value_txt as double))""",
+        "dirty",
+    ),
+)
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert job on dirty rows without labels: rows left out by reason, and rows scored."""
+    data = Prepared(spark, sf_dir)
+    folder = fresh_dir(spark, "run")
+    models = forests.train_ensemble(data.train, v.TRAIN)
+    forests.save_members(models, data.indexer, v.FEATURES, f"{folder}/{ops.MODELS}")
+    hour, user = (F.col("flow_id") % 24).alias("hour"), F.col("user_id").alias("user")
+    rows = v.dirty(spark, sf_dir).select("flow_id", "src_ip", F.col("value_txt").alias("value"), "k", hour, user)
+    stream = ops.read_flow_stream(spark, arriving(rows, spark), rows.schema)
+    out = fresh_dir(spark, "alert-job")
+    job = ops.start_alerts(stream, folder, out, fresh_dir(spark, "alert-progress"), v.KEY, v.BENIGN, keep=("src_ip",))
+    job.awaitTermination()
+    left_out = spark.read.parquet(f"{out}/{ops.REJECTS}").groupBy("reason").agg(F.count(F.lit(1)).alias("rows"))
+    _, assembler, loaded = forests.load_members(f"{folder}/{ops.MODELS}")
+    batch = ops.score_stream(rows, loaded, assembler, v.KEY)
+    expected = ops.alerts(batch, ops.benign_index(data.indexer.labels, v.BENIGN)).select("flow_id")
+    alerted = spark.read.parquet(f"{out}/{ops.ALERTS}").select("flow_id")
+    if alerted.exceptAll(expected).count() or expected.exceptAll(alerted).count():
+        raise AssertionError("alerts of the job differ from those of a batch")
+    return left_out.unionByName(batch.agg(F.lit("scored").alias("reason"), F.count(F.lit(1)).alias("rows")))
 
 
 @query(

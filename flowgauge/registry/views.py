@@ -17,7 +17,7 @@ from flowgauge.operators.counting import class_table
 from flowgauge.operators.voting import with_vote
 from flowgauge.params import CleanParams, ReportParams, TrainParams
 from flowgauge.sources.scratch import lookup
-from flowgauge.sources.tables import read_table, spread
+from flowgauge.sources.tables import read_report, read_table, report_dir, write_reports
 
 BENIGN = "benign"
 CLASSES = ("benign", "flood", "scan", "slow", "brute", "botnet")
@@ -34,10 +34,9 @@ KEY = "flow_id"
 CHOICE = "slow"
 REPORT = ReportParams(benign=BENIGN)
 CLEAN = CleanParams(cast_columns=("value_txt",))
-# Small forests keep a query short; the library's own settings are in TrainParams.
+# Small trees keep a query short; the ensemble and the folds are the library's own.
 TRAIN = TrainParams(
-    grid_num_trees=(5, 10), grid_max_depth=(3, 5), n_folds=2, num_trees=10, max_depth=5, n_models=3,
-    parallelism=4,
+    grid_num_trees=(5, 10), grid_max_depth=(3, 5), num_trees=10, max_depth=5, layout=8, parallelism=4
 )
 FEATURES = ("value", "k", "hour", "user")
 
@@ -103,8 +102,7 @@ def scored(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame
     names = class_rows.select(
         "label", "label_index", F.count(F.lit(1)).over(W.partitionBy()).cast("double").alias("n_classes")
     )
-    rows = spread(flows(spark, sf_dir).select("flow_id", "label"), KEY)
-    indexed = rows.join(names, "label")
+    indexed = flows(spark, sf_dir).select("flow_id", "label").join(names, "label")
     index = F.col("label_index")
     preds = []
     for i, name in enumerate(members()):
@@ -119,14 +117,24 @@ def voted(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame:
 
 
 class Report:
-    """The class table and the confusion table, each computed once."""
+    """The report tables as a run writes them, read back from their folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.classes = classes(spark, sf_dir)
+        class_rows = classes(spark, sf_dir)
+        confusion = lookup(confusion_long(voted(spark, sf_dir, class_rows)))
+        self.base = report_dir(spark)
+        tables = {
+            "label_counts": class_rows,
+            "conf_matrix": confusion,
+            "per_class_metrics": per_class_metrics(confusion, class_rows),
+            "metrics_wide": global_metrics(confusion),
+            "feature_importance": importances(spark, sf_dir),
+        }
+        write_reports(tables, f"{self.base}/reports")
+        self.classes, self.confusion, self.per_class, self.metrics, _ = (
+            read_report(spark, f"{self.base}/reports", name) for name in tables
+        )
         self.counts = self.classes.select("label", "count")
-        self.confusion = lookup(confusion_long(voted(spark, sf_dir, self.classes)))
-        self.per_class = per_class_metrics(self.confusion, self.classes)
-        self.metrics = global_metrics(self.confusion)
 
 
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,4 +156,4 @@ def briefings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("\n|"), F.col("source"), F.lit("|"),
     )
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    return spread(documents, "doc_id").select("doc_id", frame.alias("text"))
+    return documents.select("doc_id", frame.alias("text"))

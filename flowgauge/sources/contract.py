@@ -11,18 +11,26 @@ class SchemaMismatch(ValueError):
     """A column is missing or holds text of the wrong type."""
 
 
-def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """One row per expected column: present, empty values and unparsable values."""
+ROW_SHAPE = "(row)"
+
+
+def schema_report(df: DataFrame, expected: T.StructType, corrupt: str | None = None) -> DataFrame:
+    """One row per expected column: present, empty values and unparsable values.
+
+    `corrupt` names the column that holds the text of rows of the wrong shape;
+    they are counted in a row of their own, and their values not at all.
+    """
     present = {c.lower(): c for c in df.columns}
     measures = []
+    whole = F.col(f"`{corrupt}`").isNull() if corrupt else F.lit(True)
     for field in expected.fields:
         name = present.get(field.name.lower())
         if name is None:
-            measures.append((F.lit(0).cast("bigint"), F.count(F.lit(1))))
+            measures.append((F.lit(0).cast("bigint"), F.count_if(whole)))
             continue
         value = F.col(f"`{name}`")
         bad = value.isNotNull() & value.try_cast(field.dataType).isNull()
-        measures.append((F.count_if(bad), F.count_if(value.isNull())))
+        measures.append((F.count_if(whole & bad), F.count_if(whole & value.isNull())))
     rows = [
         F.struct(
             F.lit(field.name).alias("column"),
@@ -33,12 +41,15 @@ def schema_report(df: DataFrame, expected: T.StructType) -> DataFrame:
         )
         for field, (bad, empty) in zip(expected.fields, measures)
     ]
+    if corrupt:
+        shape = (F.lit(ROW_SHAPE), F.lit("values as in the header"), F.lit(True), F.count_if(~whole), F.lit(0).cast("bigint"))
+        rows.append(F.struct(*[c.alias(n) for c, n in zip(shape, ("column", "expected", "present", "bad_values", "null_values"))]))
     return df.agg(F.array(*rows).alias("report")).select(F.inline("report"))
 
 
-def require_schema(df: DataFrame, expected: T.StructType) -> DataFrame:
+def require_schema(df: DataFrame, expected: T.StructType, corrupt: str | None = None) -> DataFrame:
     """df itself, or SchemaMismatch naming every column at fault."""
-    faults = schema_report(df, expected).where("not present or bad_values > 0").collect()
+    faults = schema_report(df, expected, corrupt).where("not present or bad_values > 0").collect()
     if faults:
         raise SchemaMismatch(
             "; ".join(

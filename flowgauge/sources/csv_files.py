@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
-from urllib.parse import unquote, urlparse
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowgauge.jobs import FILES_AT_ONCE, together
+
 NAME_MARKS = (" ", "/")
 
 
@@ -21,6 +21,8 @@ def scan_csv(
     schema: T.StructType | None = None,
     strict_header: bool = False,
     doubled_quotes: bool = False,
+    corrupt: str | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Directory scan with header lines; columns map by position.
 
@@ -29,7 +31,9 @@ def scan_csv(
     inside a quoted value is escaped by a backslash, or by doubling it.
     """
     reader = spark.read.option("header", True).option("enforceSchema", not strict_header)
-    reader = reader.option("escape", '"' if doubled_quotes else "\\")
+    reader = reader.option("escape", '"' if doubled_quotes else "\\").option("multiLine", multi_line)
+    if corrupt is not None:
+        reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path if isinstance(path, str) else list(path))
 
@@ -55,65 +59,77 @@ def _unique_names(columns: Iterable[str]) -> list[str]:
     return names
 
 
-def file_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(path, header): the header line of every CSV file.
+def file_headers(spark: SparkSession, path: str | Sequence[str]) -> list[tuple[str, str]]:
+    """(path, header line) of every CSV file below the paths.
 
-    Spark lists the files; each task opens only the first line of its share.
+    Files are listed and opened by Spark's own file system clients, with its
+    credentials, so any store works that Spark reads. Only a first line is read
+    of each file, by a few driver threads; the driver holds the file names, as
+    it does for any scan. Names of files are taken as they are.
     """
-
-    # Local functions travel to the tasks by value, so executors need no copy
-    # of this package.
-    def first_line(name: str) -> str:
-        from pyarrow import fs
-
-        parts = urlparse(name)
-        if parts.scheme in ("", "file"):
-            store, inside = fs.LocalFileSystem(), unquote(parts.path)
-        else:
-            store, inside = fs.FileSystem.from_uri(name)
-        line = b""
-        with store.open_input_stream(inside) as stream:
-            while b"\n" not in line:
-                more = stream.read(4096)
-                if not more:
-                    break
-                line += more
-        return line.split(b"\n", 1)[0].decode("utf-8-sig").rstrip("\r")
-
-    def first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.assign(header=[first_line(p) for p in batch["path"]])
-
-    listed = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv")
-        .load(path if isinstance(path, str) else list(path))
-        .select("path")
-    )
-    return listed.mapInPandas(first_lines, "path string, header string")
-
-
-def read_text_by_name(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    files = []
+    for root in [path] if isinstance(path, str) else path:
+        top = hadoop.Path(root)
+        store = top.getFileSystem(conf)
+        starts = [top] if store.exists(top) else [found.getPath() for found in store.globStatus(top) or []]
+        for start in starts:
+            listed = store.listFiles(start, True)
+            while listed.hasNext():
+                file = listed.next().getPath()
+                if file.getName().endswith(".csv") and not file.getName().startswith(("_", ".")):
+                    files.append(file)
+
+    def first_line(file) -> tuple[str, str]:
+        stream = file.getFileSystem(conf).open(file)
+        try:
+            reader = spark._jvm.java.io.InputStreamReader(stream, "UTF-8")
+            line = spark._jvm.java.io.BufferedReader(reader).readLine()
+        finally:
+            stream.close()
+        return file.toString(), (line or "").removeprefix("\ufeff")
+
+    return together(first_line, files, FILES_AT_ONCE) if files else []
+
+
+def literal_path(path: str) -> str:
+    """The path with the marks of path patterns escaped."""
+    return "".join(f"\\{c}" if c in "{}[]*?\\" else c for c in path)
+
+
+def read_text_by_name(
+    spark: SparkSession, path: str | Sequence[str], corrupt: str | None = None, multi_line: bool = False
+) -> DataFrame:
     """All CSV files under path, combined by normalised column name, as text.
 
     Columns a file lacks become null. Empty files are left out; a blank header
-    line is an error.
-    There is one scan per distinct header, not per file. The driver holds the
-    file names, as it does for any file scan.
+    line is an error. There is one scan per distinct header, not per file.
+    `corrupt` names a column for the text of a row with more or fewer values
+    than its header; without it such a row keeps what fits. `multi_line` lets
+    quoted values hold line breaks, and makes each file one task.
     """
     groups: dict[str, list[str]] = {}
-    for file in file_headers(spark, path).toLocalIterator():
-        groups.setdefault(file["header"], []).append(file["path"])
+    for name, header in file_headers(spark, path):
+        groups.setdefault(header, []).append(name)
     if not groups:
         raise FileNotFoundError(f"no CSV files under {path}")
     if "" in groups:
-        raise ValueError(f"no header line in {', '.join(sorted(groups['']))}")
+        empty = set(groups.pop(""))
+        sizes = spark.read.format("binaryFile").load([literal_path(p) for p in sorted(empty)]).select("path", "length")
+        filled = [r["path"] for r in sizes.where("length > 0").collect()]
+        if filled:
+            raise ValueError(f"no header line in {', '.join(sorted(filled))}")
+        if not groups:
+            raise FileNotFoundError(f"only empty CSV files under {path}")
     parts = []
     for header in sorted(groups):
         names = _unique_names(next(csv.reader([header])))
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        parts.append(scan_csv(spark, sorted(groups[header]), text, doubled_quotes=True))
+        if corrupt in names:
+            raise ValueError(f"column {corrupt} is in the files")
+        text = T.StructType([T.StructField(n, T.StringType()) for n in [*names, *([corrupt] if corrupt else [])]])
+        files = [literal_path(p) for p in sorted(groups[header])]
+        parts.append(scan_csv(spark, files, text, doubled_quotes=True, corrupt=corrupt, multi_line=multi_line))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 

@@ -24,16 +24,6 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base}/{name}.parquet")
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """The scan, dealt out by key if it has fewer splits than the cluster has cores.
-
-    A large table has splits enough and passes unchanged, without a shuffle; one
-    small file with costly work to follow would otherwise keep one core busy.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
-
-
 def replace_table(df: DataFrame, path: str) -> DataFrame:
     """Overwrite a Parquet table and return a scan of what was written."""
     df.write.mode("overwrite").parquet(path)

@@ -134,3 +134,36 @@ def test_scratch_follows_the_session(spark):
     local = _Session("local[2]")
     assert scratch.scratch_base(local) == scratch.scratch_base(local) == local.folder
     assert scratch.fresh_dir(spark, "x") != scratch.fresh_dir(spark, "x")
+
+
+@pytest.mark.parametrize("name", ["a#b.csv", "a%41.csv", "a[1].csv", "a{x}.csv", "a b.csv", "a*.csv", "é.csv"])
+def test_file_names_are_taken_as_they_are(spark, tmp_path, name):
+    _write(tmp_path / "odd", name, "i,j\n1,2\n")
+    _write(tmp_path / "odd", "a1.csv", "j,i\n4,3\n")
+    rows = csv_files.read_text_by_name(spark, str(tmp_path / "odd")).collect()
+    assert sorted((r.i, r.j) for r in rows) == [("1", "2"), ("3", "4")]
+
+
+def test_question_mark_in_a_name(spark, tmp_path):
+    _write(tmp_path / "odd", "a?b.csv", "i,j\n1,2\n")
+    assert [tuple(r) for r in csv_files.read_text_by_name(spark, str(tmp_path / "odd")).collect()] == [("1", "2")]
+
+
+def test_rows_of_another_shape_are_kept_and_reported(spark, tmp_path):
+    _write(tmp_path / "r", "a.csv", 'a,b\n1,2\n3,4,5\n6\n7,"x\ny"\n')
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    text = scratch.written(csv_files.read_text_by_name(spark, str(tmp_path / "r"), corrupt="bad"))
+    # A quoted line break is one row with multi_line only; else its second half is a row of another shape.
+    assert {r.bad for r in text.collect()} == {None, "3,4,5", "6", 'y"'}
+    report = {r.column: r.bad_values for r in contract.schema_report(text, schema, "bad").collect()}
+    assert report == {contract.ROW_SHAPE: 3, "a": 0, "b": 0}
+    with pytest.raises(contract.SchemaMismatch, match="row"):
+        contract.require_schema(text, schema, "bad")
+    whole = scratch.written(csv_files.read_text_by_name(spark, str(tmp_path / "r"), corrupt="bad", multi_line=True))
+    assert sorted((r.a, r.b) for r in whole.where("bad is null").collect()) == [("1", "2"), ("7", "x\ny")]
+
+
+def test_a_column_may_not_have_the_name_of_the_corrupt_one(spark, tmp_path):
+    _write(tmp_path / "r", "a.csv", "a,bad\n1,2\n")
+    with pytest.raises(ValueError, match="bad"):
+        csv_files.read_text_by_name(spark, str(tmp_path / "r"), corrupt="bad")

@@ -1,16 +1,22 @@
 from __future__ import annotations
 
+import os
+import subprocess
+import sys
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
-from flowgauge.operators import forests
+from flowgauge.operators import confusion, forests
 from flowgauge.operators.sampling import split, with_fold
 from flowgauge.params import CleanParams
-from flowgauge.plans.batch import BatchParams, SampleParams, run_batch
+from flowgauge.plans.batch import BatchParams, SampleParams, params_of_record, run_batch
+from flowgauge.plans.reports import report_views
 from flowgauge.registry import modelling, streaming
 from flowgauge.registry import views as v
 from flowgauge.sources.contract import SchemaMismatch
-from flowgauge.sources.scratch import fresh_dir
+from flowgauge.sources.scratch import fresh_dir, scratch_base
 from flowgauge.sources.tables import REPORT_TABLES, read_report
 from flowgauge.streaming import alerts
 
@@ -33,11 +39,36 @@ def test_members_differ_by_seed_and_repeat(data, models):
     assert len(set(trees(models))) == v.TRAIN.n_models
 
 
+_FIT = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[{cores}]").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.sql.files.maxPartitionBytes", "{split}").getOrCreate()
+spark.sparkContext.setLogLevel("ERROR")
+from flowgauge.operators import confusion, forests
+from flowgauge.registry import modelling, views as v
+model = forests.train_one(modelling.Prepared(spark, {sf_dir!r}).train, v.TRAIN)
+print("TREES", hash_of(model))
+""".replace("hash_of(model)", "__import__('hashlib').md5(model.toDebugString.split('\\n', 1)[1].encode()).hexdigest()")
+
+
+def test_forests_do_not_depend_on_cores(sf_dir):
+    """Two processes with other cores and read splits fit the same trees."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    found = set()
+    for cores, size in ((2, "128m"), (4, "8k")):
+        code = _FIT.format(root=root, cores=cores, split=size, sf_dir=sf_dir)
+        done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=root, timeout=300)
+        found |= {line for line in done.stdout.splitlines() if line.startswith("TREES")}
+        assert found, done.stderr[-2000:]
+    assert len(found) == 1
+
+
 def test_forests_do_not_depend_on_the_input_order(spark, sf_dir, data, models):
     rows = modelling.feature_rows(spark, sf_dir).repartition(5).orderBy(F.desc("value"))
-    again = forests.model_input(rows, v.FEATURES, data.indexer, v.KEY)
+    again = forests.model_input(rows, v.FEATURES, data.indexer, v.KEY, v.TRAIN.layout)
     train = split(again, v.KEY, v.TEST_SHARE, v.SEED)[0]
-    refitted = forests.forest(v.TRAIN, v.TRAIN.seed).fit(train)
+    refitted = forests.train_one(train, v.TRAIN)
     assert refitted.toDebugString.split("\n", 1)[1] == models[0].toDebugString.split("\n", 1)[1]
 
 
@@ -75,7 +106,7 @@ def test_grid_scores_equal_the_cross_validator(data):
     evaluator = MulticlassClassificationEvaluator(labelCol="label_index", metricName="f1")
     theirs = CrossValidator(
         estimator=rf, estimatorParamMaps=grid, evaluator=evaluator, numFolds=v.TRAIN.n_folds, foldCol="fold"
-    ).fit(with_fold(data.train, v.KEY, v.TRAIN.n_folds, v.TRAIN.seed))
+    ).fit(forests.arranged(with_fold(data.train, v.KEY, v.TRAIN.n_folds, v.TRAIN.seed), v.TRAIN.layout))
     expected = {
         tuple({p.name: x for p, x in point.items()}[n] for n in ("numTrees", "maxDepth")): score
         for point, score in zip(grid, theirs.avgMetrics)
@@ -102,7 +133,7 @@ def test_stream_equals_batch(spark, sf_dir, data, models):
     ready = forests.assembler(v.FEATURES).transform(rows)
     batch = forests.score_ensemble(ready, models).select("flow_id", "label", "final_prediction")
     stream = alerts.read_flow_stream(spark, streaming.arriving(rows, spark), rows.schema, 1)
-    scored = alerts.score_stream(stream, models, forests.assembler(v.FEATURES), CleanParams(cast_columns=()), (v.KEY,))
+    scored = alerts.score_stream(stream, models, forests.assembler(v.FEATURES), v.KEY, ("label",))
     benign = alerts.benign_index(data.indexer.labels, v.BENIGN)
     found = alerts.alerts(scored.select("flow_id", "label", "final_prediction"), benign)
     out = alerts.run_to_files(found, fresh_dir(spark, "a"), fresh_dir(spark, "p"))
@@ -133,6 +164,7 @@ def test_batch_run_end_to_end(spark, sf_dir, tmp_path):
         train=v.TRAIN,
     )
     csv = modelling.raw_csv(spark, sf_dir)
+    before = set(os.listdir(scratch_base(spark).removeprefix("file:")))
     result = run_batch(spark, csv, str(tmp_path), params, modelling._RAW)
     for name in REPORT_TABLES:
         assert read_report(spark, f"{result.path}/reports", name).count() > 0
@@ -141,8 +173,62 @@ def test_batch_run_end_to_end(spark, sf_dir, tmp_path):
     assert spark.read.parquet(f"{result.path}/grid_scores").count() == 4
     assert result.metrics.first().accuracy > 0.6
     assert "accuracy" in {r.name for r in result.record.collect()}
-    _, _, loaded = forests.load_members(f"{result.path}/models", v.TRAIN.n_models)
+    _, _, loaded = forests.load_members(f"{result.path}/models")
     assert len(loaded) == v.TRAIN.n_models
-    assert result.steps.agg(F.sum("seconds")).first()[0] > 0
+    steps = {r.step: r for r in result.steps.collect()}
+    assert sum(r.percent for r in steps.values()) == pytest.approx(100, abs=0.01)
+    assert steps["vote"].rows == votes.count() and steps["vote"].rows_per_second > 0
+    assert read_report(spark, f"{result.path}/reports", "cv_metrics").first().accuracy > 0.6
+    gap = read_report(spark, f"{result.path}/reports", "cv_gap").first()
+    assert gap.gap_points == pytest.approx((gap.cv_f1 - gap.test_f1) * 100)
+    used = params_of_record(result.record.collect())
+    best = (used.train.num_trees, used.train.max_depth)
+    assert best == (gap.num_trees, gap.max_depth)
+    assert replace(used, train=replace(used.train, num_trees=v.TRAIN.num_trees, max_depth=v.TRAIN.max_depth)) == params
+    views = report_views(spark, result.path, v.REPORT, 1, v.CHOICE)
+    assert all(view.count() > 0 for view in views.values()) and len(views) == 16
+    assert not [d for d in os.listdir(scratch_base(spark).removeprefix("file:")) if d.startswith(("prepared-", "model-input-")) and d not in before]
     with pytest.raises(SchemaMismatch, match="packets_count"):
         run_batch(spark, csv, str(tmp_path), BatchParams(strict_schema=True), modelling._RAW)
+    with pytest.raises(ValueError, match="needs a schema"):
+        run_batch(spark, csv, str(tmp_path), BatchParams(strict_schema=True))
+
+
+def test_caps_bound_the_fit_only(spark, sf_dir, tmp_path):
+    params = replace(modelling.BATCH, search=False, train=replace(v.TRAIN, n_models=1, num_trees=2))
+    result = run_batch(spark, modelling.raw_csv(spark, sf_dir), str(tmp_path), params, modelling._RAW)
+    reports = f"{result.path}/reports"
+    all_rows = {r["label"]: r["count"] for r in read_report(spark, reports, "label_counts").collect()}
+    train = {r["label"]: r["count"] for r in read_report(spark, reports, "train_counts").collect()}
+    tested = {r["label"]: r["tp"] + r["fn"] for r in result.per_class.collect()}
+    assert {c: tested[c] + train[c] for c in all_rows if c not in v.CAPS} == {c: n for c, n in all_rows.items() if c not in v.CAPS}
+    small = replace(params, sample=replace(params.sample, class_limits={"benign": 20}))
+    again = run_batch(spark, modelling.raw_csv(spark, sf_dir), str(tmp_path), small, modelling._RAW)
+    assert {r["label"]: r["tp"] + r["fn"] for r in again.per_class.collect()} == tested
+    assert {r["label"]: r["count"] for r in read_report(spark, f"{again.path}/reports", "train_counts").collect()}["benign"] == 20
+
+
+def test_rows_without_label_or_other_columns_are_scored(spark, data, models):
+    live = spark.createDataFrame(
+        [(1, None, "5.0", 1.0, 2, 3.0, None), (2, None, "inf", None, 2, 3.0, "x"), (3, "flood", "x", 1.0, 2, 3.0, "y")],
+        "flow_id long, label string, value string, k double, hour int, user double, src_ip string",
+    )
+    vector = forests.assembler(v.FEATURES)
+    scored = alerts.score_stream(live, models, vector, v.KEY, ("src_ip",)).collect()
+    assert [(r.flow_id, r.src_ip) for r in scored] == [(1, None)] and scored[0].final_prediction is not None
+    reasons = {r.flow_id: r.reason for r in alerts.rejected(live, vector, v.KEY).collect()}
+    assert reasons == {2: "value,k", 3: "value"}
+    with pytest.raises(ValueError, match="columns missing in the stream: hour"):
+        alerts.score_stream(live.drop("hour"), models, vector, v.KEY)
+
+
+def test_members_are_counted_by_the_manifest(spark, data, models, tmp_path):
+    forests.save_members(models[:2], data.indexer, v.FEATURES, str(tmp_path / "m"))
+    assert len(forests.load_members(str(tmp_path / "m"))[2]) == 2
+
+
+def test_scores_read_the_folds_once_and_count_patterns_first(data, models):
+    names = forests.pred_columns(models)
+    scored = forests.score_ensemble(data.test, models)
+    plan = confusion.member_scores(scored, names)._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.rindex("HashAggregate")  # rows are counted before they are multiplied

@@ -49,9 +49,9 @@ def _check(spark, text):
     cells, head_due = [], True
     for i, k, s in typed:
         found = [c.strip() for c in s.split("|") if c.strip()] if k == "table_row" else []
-        cells += [(i, j, _strip(c)[:30], head_due) for j, c in enumerate(found)]
+        cells += [(i, j, _strip(c), _strip(c)[:30], head_due) for j, c in enumerate(found)]
         head_due = (head_due and not found) if k in ("table_row", "separator") else True
-    got = sorted((r.line_no, r.cell_no, r.cell, r.is_header) for r in table_cells(df, "doc_id", 30).collect())
+    got = sorted((r.line_no, r.cell_no, r.cell, r.shown, r.is_header) for r in table_cells(df, "doc_id", 30).collect())
     assert got == cells
     assert stripped_texts(df, "doc_id").first().text == _strip(text)
 
