@@ -43,8 +43,10 @@ class StepLog:
 
     def shares(self, spark: SparkSession) -> DataFrame:
         """Seconds, share and throughput of each step so far; the rest of the run is the export."""
-        elapsed = time.monotonic() - self._started
-        return step_shares(self.table(spark), spark.range(1).select(F.lit(elapsed).alias("total")))
+        return step_shares(self.table(spark), spark.range(1).select(F.lit(self.elapsed()).alias("total")))
+
+    def elapsed(self) -> float:
+        return time.monotonic() - self._started
 
 
 def step_shares(log: DataFrame, total_seconds: DataFrame) -> DataFrame:
