@@ -13,14 +13,9 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
-# A lookup table is broadcast only below both bounds.
-BROADCAST_ROWS = 10_000
-BROADCAST_BYTES = 8 * 1024 * 1024
-
 
 def scratch_base(spark: SparkSession) -> str:
     context = spark.sparkContext
@@ -69,14 +64,9 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def lookup(df: DataFrame) -> DataFrame:
-    """A class-level table, run once and marked for broadcast if small enough.
+    """A class-level table, computed once and written as one file.
 
-    At most BROADCAST_ROWS + 1 rows reach the driver. A table within both bounds
-    has one partition, so that what is computed from it needs no shuffle. One
-    over either bound is written out instead and joined by a shuffle, which AQE
-    splits where one key is hot.
+    Spark knows the size of the file, broadcasts it below its own bound and
+    shuffles the join beyond.
     """
-    rows = df.limit(BROADCAST_ROWS + 1).toArrow()
-    if rows.num_rows <= BROADCAST_ROWS and rows.nbytes <= BROADCAST_BYTES:
-        return F.broadcast(df.sparkSession.createDataFrame(rows, schema=df.schema).coalesce(1))
-    return written(df, "lookup")
+    return written(df.coalesce(1), "lookup")

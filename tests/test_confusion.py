@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from flowgauge.operators import confusion as ops
 from flowgauge.registry import views as v
-from flowgauge.sources import scratch
 
 
 @pytest.fixture(scope="module")
@@ -74,12 +73,15 @@ def test_matrix_is_dense(spark):
     assert [rows["c"][x] for x in "abc"] == [0, 0, 0]
 
 
-def test_large_lookup_is_written_and_joined_without_broadcast_hint(spark, sf_dir, monkeypatch, report):
-    monkeypatch.setattr(scratch, "BROADCAST_ROWS", 2)
-    again = v.Report(spark, sf_dir)
-    assert "broadcast" not in again.classes._jdf.queryExecution().analyzed().toString().lower()
-    assert again.per_class.exceptAll(report.per_class).count() == 0
-    assert again.per_class.count() == report.per_class.count()
+def test_lookups_beyond_the_broadcast_bound_are_joined_by_a_shuffle(spark, sf_dir, report):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        again = v.Report(spark, sf_dir)
+        assert "Broadcast" not in v.scored(spark, sf_dir, again.classes)._jdf.queryExecution().executedPlan().toString()
+        assert again.per_class.exceptAll(report.per_class).count() == 0
+        assert again.per_class.count() == report.per_class.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_gain_is_measured_against_the_worst_member(scored):
