@@ -46,7 +46,7 @@ from flowgauge.llm.words import LOWER, split_words, text_bytes, word_numbers
 from flowgauge.sources.scratch import fresh_dir, written
 
 FOLDS, HELD_OUT = 7, 2
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 PARTS_PER_PARTITION = 2
 MOST_DISCOUNTED = 5
 BEGIN, END = np.uint64(1), np.uint64(2)
@@ -450,7 +450,8 @@ def score_documents(documents: DataFrame, train, text: str = "text", row_id: str
     )
     blocks = _bucketed(named.mapInArrow(_block_batches, BLOCKS), buckets)
 
-    words = written(blocks.mapInArrow(_asks(parts), WORD_ASKS).groupBy("part").applyInArrow(_merge_words, WORD_ROWS), "katz-words")
+    word_asks = blocks.mapInArrow(_asks(parts), WORD_ASKS).repartitionById(parts, F.col("part"))
+    words = written(word_asks.groupBy("part").applyInArrow(_merge_words, WORD_ROWS), "katz-words")
     sums = [F.coalesce(F.sum(F.col("having")[i]), F.lit(0)) for i in range(MOST_DISCOUNTED + 2)]
     *having, distinct, tokens = words.agg(*sums, F.coalesce(F.sum("tokens"), F.lit(0))).first()
     unigrams = Unigrams.of(having, tokens, distinct)
@@ -460,8 +461,8 @@ def score_documents(documents: DataFrame, train, text: str = "text", row_id: str
     told = words.select("part", F.explode("answers").alias("a")).select(
         "a.block", "part", F.lit(ABOUT_WORDS).alias("kind"), "a.counts", F.lit(None).cast("binary").alias("alphas")
     )
-    asks = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_asks(parts, hot), PAIR_ASKS)
-    pairs = written(asks.groupBy("part").applyInArrow(_merge_pairs, PAIR_ROWS), "katz-pairs")
+    pair_asks = blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(_asks(parts, hot), PAIR_ASKS)
+    pairs = written(pair_asks.repartitionById(parts, F.col("part")).groupBy("part").applyInArrow(_merge_pairs, PAIR_ROWS), "katz-pairs")
     discounts = Discounts.of(list(pairs.agg(*sums[:-1]).first()))
     partial = pairs.mapInArrow(_hot_sums(unigrams, discounts, hot), "first long, count double, mass double, followers double")
     totals = partial.groupBy("first").agg(*[F.sum(c).alias(c) for c in ("count", "mass", "followers")])
