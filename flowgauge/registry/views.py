@@ -39,6 +39,8 @@ TRAIN = TrainParams(
     grid_num_trees=(5, 10), grid_max_depth=(3, 5), num_trees=10, max_depth=5, layout=8, parallelism=4
 )
 FEATURES = ("value", "k", "hour", "user")
+# Tasks of the costly stand-in rules; one given file is a single split.
+DEALT = 16
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -102,7 +104,7 @@ def scored(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame
     names = class_rows.select(
         "label", "label_index", F.count(F.lit(1)).over(W.partitionBy()).cast("double").alias("n_classes")
     )
-    indexed = flows(spark, sf_dir).select("flow_id", "label").join(names, "label")
+    indexed = flows(spark, sf_dir).select("flow_id", "label").repartition(DEALT, KEY).join(names, "label")
     index = F.col("label_index")
     preds = []
     for i, name in enumerate(members()):
@@ -156,4 +158,4 @@ def briefings(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("\n|"), F.col("source"), F.lit("|"),
     )
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
-    return documents.select("doc_id", frame.alias("text"))
+    return documents.repartition(DEALT, "doc_id").select("doc_id", frame.alias("text"))
