@@ -133,6 +133,15 @@ def test_a_text_far_from_its_language_is_rejected(spark):
     assert not found[100] and sum(found.values()) == 60
 
 
+def test_bands_are_as_narrow_as_their_language(spark):
+    """Most documents labelled bad that pass the rules go, and few of the good ones."""
+    sf_dir = "/root/testdata/sf0.01"
+    rows = {r["id"]: r for r in Q.judge(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()}
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").collect()
+    stay = {q: [rows[r["doc_id"]]["kept"] for r in labels if r["quality"] == q and not rows[r["doc_id"]]["base_failed"]] for q in (0, 1)}
+    assert np.mean(stay[0]) < 0.5 and np.mean(stay[1]) > 0.95
+
+
 def test_classifier_on_held_out_labels(spark):
     sf_dir = "/root/testdata/sf0.01"
     rows = {r["doc_id"]: r for r in QUERIES["op9_random_indexing"].run(spark, sf_dir).collect()}
