@@ -74,9 +74,9 @@ def windows_of(items: DataFrame, width: int, text: str = "text", item_id: str =
     return Phrases(terms, owners, vocabulary)
 
 
-def build_index(documents: DataFrame, vocabulary: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
-    """Postings (term, at, pos, id) of the vocabulary; `at` tells rows apart, id stands at end marks only."""
-    numbered = documents.select(F.monotonically_increasing_id().alias("at"), F.col(row_id).alias("id"), F.col(text).alias("text"))
+def build_index(documents: DataFrame, vocabulary: DataFrame, text: str = "text", row_id: str = "doc_id", at: str | None = None) -> DataFrame:
+    """Postings (term, at, pos, id) of the vocabulary; `at`, the column named or the position in the read, tells rows apart, id stands at end marks only."""
+    numbered = documents.select((F.col(at) if at else F.monotonically_increasing_id()).alias("at"), F.col(row_id).alias("id"), F.col(text).alias("text"))
     spelled = F.array_append(words_of(F.col("text")), F.lit(""))
     exploded = numbered.select("at", "id", F.posexplode(spelled).alias("pos", "spelled"))
     # lower() is much faster and equal for equal words; the filter keeps those that A to Z alone make equal.
@@ -164,10 +164,12 @@ def contamination(index: DataFrame, matches: DataFrame, owners: DataFrame) -> Da
     )
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
+def decontaminate(
+    documents: DataFrame, benchmark: DataFrame, width: int = WIDTH, text: str = "text", row_id: str = "doc_id", at: str | None = None
+) -> DataFrame:
     """What of each document occurs in the benchmark, in windows of `width` words."""
     phrases = windows_of(benchmark, width)
-    index = build_index(documents, phrases.vocabulary)
+    index = build_index(documents, phrases.vocabulary, text, row_id, at)
     return contamination(index, exact_matches(index, ranked_terms(index, phrases.terms)), phrases.owners)
 
 
