@@ -11,8 +11,17 @@ from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
 from flowgauge.registry.modelling import Prepared, feature_rows
 from flowgauge.registry.sql import with_views
-from flowgauge.sources.scratch import fresh_dir
+from flowgauge.sources.scratch import fresh_dir, written
 from flowgauge.streaming import alerts as ops
+from flowgauge.streaming import windows
+
+DAY = 86_400
+# The given flows span thirty days from this second on.
+FIRST_SECOND = 1_704_067_200
+WINDOW, WINDOW_DELAY = "6 hours", "12 hours"
+GAP, GAP_DELAY = "6 hours", "11 days"
+REPEAT_DELAY = "16 days"
+SLICE_DAYS = 5
 
 
 def arriving(df: DataFrame, spark: SparkSession) -> str:
@@ -41,6 +50,110 @@ def stream_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.run_to_files(columns, fresh_dir(spark, "alerts"), fresh_dir(spark, "alerts-progress"))
 
 
+def _timed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts with the time of their flow, and the delivery that brings them.
+
+    A delivery holds the flows of some days; of every 11 flows one comes a delivery later.
+    """
+    class_rows = v.classes(spark, sf_dir)
+    labels = [r["label"] for r in class_rows.orderBy("label_index").collect()]
+    found = ops.alerts(v.voted(spark, sf_dir, class_rows), ops.benign_index(labels, v.BENIGN)).select("flow_id", "final_prediction")
+    flows = v.flows(spark, sf_dir).select("flow_id", "user_id", windows.event_time(F.col("ts")).alias("at"))
+    day = F.floor((F.unix_micros("at") - FIRST_SECOND * 1_000_000) / (DAY * SLICE_DAYS * 1_000_000))
+    return found.join(flows, "flow_id").withColumn("delivery", (day + F.when(F.col("flow_id") % 11 == 3, 1).otherwise(0)).cast("int"))
+
+
+def _delivered(rows: DataFrame, times: int = 1) -> tuple[DataFrame, DataFrame]:
+    """(stream, batch) of the rows: a file for each delivery, in order, one to a micro-batch; each comes `times` times over."""
+    spark = rows.sparkSession
+    kept = written(rows, "deliveries")
+    path = fresh_dir(spark, "arrivals")
+    for number in sorted(r[0] for r in kept.select("delivery").distinct().collect()):
+        for _ in range(times):
+            kept.where(F.col("delivery") == number).coalesce(1).write.mode("append").parquet(path)
+    return ops.read_flow_stream(spark, path, kept.schema, files_per_trigger=1), kept
+
+
+def _run(stream: DataFrame, spark: SparkSession) -> tuple[DataFrame, str]:
+    """What the job writes until the deliveries end, and its checkpoint."""
+    out, checkpoint = fresh_dir(spark, "windows"), fresh_dir(spark, "windows-progress")
+    windows.start_to_files(stream, out, checkpoint).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out), checkpoint
+
+
+# Delivered alerts, and the watermark in microseconds that the micro-batch of delivery n drops late rows by.
+_ALERTS = f"""
+    alerts as (
+        select v.flow_id, v.final_prediction, f.user_id, epoch_us(f.ts) as us,
+               (epoch_us(f.ts) - {FIRST_SECOND * 1_000_000}) // {DAY * SLICE_DAYS * 1_000_000}
+               + case when v.flow_id % 11 = 3 then 1 else 0 end as delivery
+        from voted v join flows f using (flow_id)
+        where v.final_prediction <> (select label_index from classes where label = 'benign'))"""
+
+
+def _watermark(rows: str, hours: int) -> str:
+    return f"coalesce((select (max(us) // 1000 - {hours} * 3600000) * 1000 from {rows}), 0)"
+
+
+_WINDOWED = f"""
+    numbered as (select *, dense_rank() over (order by delivery) as batch, us // 21600000000 * 21600000000 as began from alerts),
+    batches as (select distinct batch from numbered),
+    marks as (select b.batch, {_watermark("numbered n where n.batch < b.batch - 1", 12)} as mark from batches b),
+    final as (select {_watermark("numbered", 12)} as mark),
+    judged as (select n.*, began + 21600000000 > m.mark as in_time, began + 21600000000 <= (select mark from final) as closed
+               from numbered n join marks m using (batch))"""
+
+
+@query(
+    "stream_alert_windows",
+    with_views("", "voted", "flows").rstrip() + "," + _ALERTS + "," + _WINDOWED + """
+        select 'window' as kind, final_prediction, began // 1000000 as window_start, count(*) as alerts
+        from judged where in_time and closed group by all
+        union all select 'written', null, null, count(*) filter (where in_time and closed) from judged
+        union all select 'open', null, null, count(*) filter (where in_time and not closed) from judged
+        union all select 'late', null, null, count(*) filter (where not in_time) from judged""",
+)
+def stream_alert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts per class and window of event time from deliveries out of order, and the rows written, open and late."""
+    stream, given = _delivered(_timed_alerts(spark, sf_dir))
+    counts, checkpoint = _run(windows.window_counts(stream, "at", WINDOW, WINDOW_DELAY, by=["final_prediction"]), spark)
+    balance = windows.alert_balance(counts, windows.open_counts(spark, checkpoint), given)
+    found = counts.select(
+        F.lit("window").alias("kind"), "final_prediction", F.unix_seconds(windows.START).alias("window_start"), windows.COUNT
+    )
+    return found.unionByName(balance, allowMissingColumns=True)
+
+
+@query(
+    "stream_alert_sessions",
+    with_views("", "voted", "flows").rstrip() + "," + _ALERTS + f"""
+        , steps as (select *, case when us - lag(us) over w < 21600000000 then 0 else 1 end as begins
+                    from alerts window w as (partition by user_id order by us)),
+        sessions as (select *, sum(begins) over (partition by user_id order by us rows unbounded preceding) as session from steps),
+        spans as (select user_id, min(us) as began, max(us) + 21600000000 as ended, count(*) as alerts
+                  from sessions group by user_id, session)
+        select user_id, began as window_start, ended as window_end, alerts from spans
+        where ended <= {_watermark("alerts", 264)}""",
+)
+def stream_alert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of alerts of one user, from deliveries out of order; those that the watermark has closed."""
+    stream, _ = _delivered(_timed_alerts(spark, sf_dir))
+    counts, _ = _run(windows.session_counts(stream, "at", GAP, GAP_DELAY, by=["user_id"]), spark)
+    start, end = (F.unix_micros(c).alias(c) for c in (windows.START, windows.END))
+    return counts.select("user_id", start, end, windows.COUNT)
+
+
+@query(
+    "stream_alerts_once",
+    with_views("", "voted", "flows").rstrip() + "," + _ALERTS + " select flow_id, final_prediction, user_id from alerts",
+)
+def stream_alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alerts of deliveries that all come twice: each of them once."""
+    stream, _ = _delivered(_timed_alerts(spark, sf_dir), times=2)
+    found, _ = _run(windows.once(stream, ["flow_id"], "at", REPEAT_DELAY), spark)
+    return found.select("flow_id", "final_prediction", "user_id")
+
+
 def _scored_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(stream result, batch result) of the same flows and members.
 
