@@ -49,8 +49,8 @@ from flowgauge.sources.scratch import written
 
 WORK = 1 << 16
 BLOCK_BYTES = 1 << 20
-ENCODE_CHARS = 1 << 17
-KNOWN = 100_000
+ENCODE_BYTES, JOINED_BYTES = 1 << 17, 1 << 12
+KNOWN = 300_000
 PARTS = 64
 SPACE_SIGN = "▁"
 
@@ -116,44 +116,101 @@ def load_pair(a_file: bytes, b_file: bytes) -> Pair:
     return Pair(a, b, a_bytes, [piece_bytes(name, b.is_byte(i)) for i, name in enumerate(names)])
 
 
+def _stands_alone(unit: bytes) -> bool:
+    """Whether units may stand before and after this one in one text."""
+    end = _ASCII[unit[-1]] or (len(unit) > 1 and _REST[unit[-1]] and _TWO[unit[-2]])
+    return bool(end and _FIRST[unit[0]])
+
+
+class Side:
+    """One tokenizer: encodes units, and holds the ids of those met before."""
+
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], tokens: list[bytes]) -> None:
+        self.encode, self.tokens = encode, tokens
+        self.size = np.array([len(x) for x in tokens], np.int64)
+        self.clear()
+
+    def clear(self) -> None:
+        self.ids, self.start, self.n = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def of_texts(self, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each unit of texts that are units joined by spaces; zero for units whose tokens do not join to them."""
+        found, counts = [], []
+        for units, ids in zip(texts, self.encode([b" ".join(u).decode() for u in texts])):
+            if b"".join(map(self.tokens.__getitem__, ids)) == b" " + b" ".join(units):
+                ids = np.array(ids, np.uint32)
+                stops = np.cumsum([len(u) + 1 for u in units])
+                counts.append(np.diff(np.searchsorted(np.cumsum(self.size[ids]), stops) + 1, prepend=0))
+                found.append(ids)
+            elif len(units) == 1:
+                counts.append(np.zeros(1, np.int64))
+            else:
+                ids, each = self.of_texts([[u] for u in units])
+                found.append(ids)
+                counts.append(each)
+        return np.concatenate([np.empty(0, np.uint32), *found]), np.concatenate([np.empty(0, np.int64), *counts])
+
+    def learn(self, texts: list[list[bytes]]) -> None:
+        ids, n = self.of_texts(texts)
+        self.start = np.concatenate([self.start, len(self.ids) + np.cumsum(n) - n])
+        self.n, self.ids = np.concatenate([self.n, n]), np.concatenate([self.ids, ids])
+
+
 class Encoder:
-    """Ids of units by both tokenizers; those met before, up to KNOWN, are looked up."""
+    """Ids of units by both tokenizers; those met before, up to KNOWN, are looked up.
+
+    New units are encoded together, joined by spaces, as far as texts may be cut
+    between them; the ends of their tokens tell them apart again.
+    """
 
     def __init__(self, pair: Pair) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.pair = pair
-        self.known: dict[bytes, tuple[bytes, bytes]] = {}
-        self.a_size = np.array([len(x) for x in pair.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in pair.b_bytes], np.int64)
-
-    def _joined(self, unit: bytes, a: list[int], b: list[int]) -> bool:
-        whole = b" " + unit
-        return b"".join(map(self.pair.a_bytes.__getitem__, a)) == whole and b"".join(map(self.pair.b_bytes.__getitem__, b)) == whole
+        self.known: dict[bytes, int] = {}
+        self.a = Side(lambda texts: [e.ids for e in pair.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)], pair.a_bytes)
+        self.b = Side(lambda texts: pair.b.encode(texts, num_threads=1), pair.b_bytes)
 
     def _learn(self, units: list[bytes]) -> None:
-        texts = [u.decode() for u in units]
-        coded = self.pair.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)
-        for unit, one, b in zip(units, coded, self.pair.b.encode(texts, num_threads=1)):
-            a = one.ids
-            same = self._joined(unit, a, b)
-            self.known[unit] = (np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()) if same else (b"", b"")
-
-    def encode(self, units: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """(ids of a, ids of b) of each unit; none where the tokens do not join to it."""
+        together, alone, size = [[]], [], 0
+        for unit in units:
+            if not _stands_alone(unit):
+                alone.append([unit])
+                continue
+            together[-1].append(unit)
+            size += len(unit)
+            if size >= JOINED_BYTES:
+                together.append([])
+                size = 0
+        texts = [t for t in together if t] + alone
+        self.a.learn(texts)
+        self.b.learn(texts)
+        for text in texts:
+            for unit in text:
+                self.known[unit] = len(self.known)
+
+    def encode(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids and numbers of ids of the units, of a and of b; none where either side's tokens do not join to the unit."""
         if len(self.known) > KNOWN:
             self.known.clear()
+            self.a.clear()
+            self.b.clear()
         new, size = [], 0
         for unit in units:
             if unit in self.known:
                 continue
             new.append(unit)
             size += len(unit)
-            if size >= ENCODE_CHARS:
+            if size >= ENCODE_BYTES:
                 self._learn(new)
                 new, size = [], 0
         if new:
             self._learn(new)
-        return [self.known[u] for u in units]
+        at = np.fromiter(map(self.known.__getitem__, units), np.int64, len(units))
+        good = (self.a.n[at] > 0) & (self.b.n[at] > 0)
+        out = []
+        for side in (self.a, self.b):
+            n = np.where(good, side.n[at], 0)
+            out += [side.ids[expand(side.start[at], n)].astype(np.int64), n]
+        return tuple(out)
 
 
 def diagonal_cuts(a: np.ndarray, b: np.ndarray, work: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,16 +285,14 @@ class Units:
 
 def align_units(encoder: Encoder, numbers: Numbers, units: list[bytes]) -> Units:
     """Aligns the token ends of all the units, one after the other, in one merge."""
-    coded = encoder.encode(units)
     n = len(units)
-    ids_a, ids_b = (np.frombuffer(b"".join(c[k] for c in coded), "<u4").astype(np.int64) for k in (0, 1))
-    n_a, n_b = (np.array([len(c[k]) // 4 for c in coded], np.int64) for k in (0, 1))
-    ends_a, ends_b = np.cumsum(encoder.a_size[ids_a]), np.cumsum(encoder.b_size[ids_b])
+    ids_a, n_a, ids_b, n_b = encoder.encode(units)
+    ends_a, ends_b = np.cumsum(encoder.a.size[ids_a]), np.cumsum(encoder.b.size[ids_b])
     link_a, link_b, shared_a, shared_b = overlaps(ends_a, ends_b)
     of_a, of_b = np.repeat(np.arange(n), n_a), np.repeat(np.arange(n), n_b)
     owner = of_a[link_a]
     order = np.argsort(owner, kind="stable")
-    keys = (ids_b[link_b] * len(encoder.a_size) + ids_a[link_a])[order]
+    keys = (ids_b[link_b] * len(encoder.a.size) + ids_a[link_a])[order]
 
     group_a, group_b = np.cumsum(shared_a) - shared_a, np.cumsum(shared_b) - shared_b
     at_a = np.arange(len(ids_a)) + np.searchsorted(group_b, group_a)
@@ -339,7 +394,7 @@ def _aligning(files, row_type: pa.DataType) -> Callable[[Iterator[pa.RecordBatch
             times = np.bincount(block.unit, minlength=len(block.units.n_links))
             distinct, place = np.unique(block.units.link_keys, return_inverse=True)
             counts = np.bincount(place, np.repeat(times, block.units.n_links), len(distinct)).astype(np.int64)
-            part = distinct // len(encoder.a_size) % PARTS
+            part = distinct // len(encoder.a.size) % PARTS
             order = np.argsort(part, kind="stable")
             turned = np.empty(len(order), np.int64)
             turned[order] = np.arange(len(order))

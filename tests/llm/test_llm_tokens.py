@@ -108,11 +108,10 @@ def test_units_change_no_token(pair, text):
     coded = encoder.encode(units)
     whole = tokens(pair, text)
     if whole is None:
-        assert not text or any(not a for a, _ in coded)
+        assert not text or (coded[1] == 0).any()
     else:
         for side in (0, 1):
-            ids = np.frombuffer(b"".join(c[side] for c in coded), "<u4").tolist()
-            assert ids == [t[0] for t in whole[side]]
+            assert coded[2 * side].tolist() == [t[0] for t in whole[side]] and coded[2 * side + 1].sum() == len(whole[side])
 
 
 @settings(max_examples=200, deadline=None)
