@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from contextvars import copy_context
 from functools import partial
 from typing import TypeVar
 
@@ -18,10 +19,13 @@ FILES_AT_ONCE = 4
 
 
 def together(work: Callable[[In], Out], items: Sequence[In], at_once: int) -> list[Out]:
-    """work(item) for each item, from a few driver threads; Spark shares out the tasks."""
+    """work(item) for each item, from a few driver threads; Spark shares out the tasks.
+
+    The threads have the caller's context, so its scratch scopes hold for them.
+    """
     in_session = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(max_workers=max(1, at_once)) as pool:
-        return [t.result() for t in [pool.submit(in_session(partial(work, item))) for item in items]]
+        return [t.result() for t in [pool.submit(copy_context().run, in_session(partial(work, item))) for item in items]]
 
 
 @contextmanager

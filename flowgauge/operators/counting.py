@@ -88,13 +88,14 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     length, so no two rows are written alike; a null has a mark of its own, and
     a time is written as microseconds, whatever the session's zone.
     """
+    row = hash_number(row_hash(df, columns if columns is not None else df.columns)).cast("decimal(28,0)")
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row), F.lit(0)).cast("string").alias("digest"))
+
+
+def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """md5 of a row's listed columns, as hex digits."""
     fields = {f.name: f.dataType for f in df.schema.fields}
-    names = list(columns) if columns is not None else df.columns
-    row = F.md5(F.concat(*[_shown(F.col(f"`{n}`"), fields.get(n)) for n in names]))
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(hash_number(row).cast("decimal(28,0)")), F.lit(0)).cast("string").alias("digest"),
-    )
+    return F.md5(F.concat(*[_shown(F.col(f"`{n}`"), fields.get(n)) for n in columns]))
 
 
 def _shown(value: Column, kind: T.DataType | None) -> Column:

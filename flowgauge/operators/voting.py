@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.functions.vote import majority_of
@@ -53,3 +53,31 @@ def votes_wide(long: DataFrame, key: str, members: int) -> DataFrame:
     twice = F.raise_error(F.concat(F.lit(f"{key} is scored twice by one member: "), F.col(key).cast("string"))).cast("boolean")
     complete = F.when(F.greatest(F.lit(0), *scored) > 1, twice).otherwise(reduce(and_, [n == 1 for n in scored]))
     return long.groupBy(key).agg(complete.alias("_complete"), *picked).filter("_complete").drop("_complete")
+
+
+def write_votes(member: DataFrame, table: str, path: str, key: str, buckets: int, prediction: str = "prediction") -> None:
+    """Store one member's predictions as a table of sorted buckets of the key.
+
+    Members scored at other times, by other jobs, are stored alike and need no
+    shuffle when their votes are lined up. Rows are dealt to the buckets first, so
+    a bucket is one file. A null key is an error, as no vote can be lined up by it.
+    """
+    told = F.raise_error(F.lit(f"{key} is null in the predictions for {table}"))
+    known = F.when(F.col(key).isNull(), told.cast(member.schema[key].dataType)).otherwise(F.col(key))
+    rows = member.select(known.alias(key), F.col(prediction).alias("pred"))
+    dealt = rows.repartition(buckets, key)
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
+def line_up_tables(spark: SparkSession, tables: Sequence[str], key: str) -> DataFrame:
+    """Predictions of stored members as columns pred_0.. per row key, joined bucket by bucket without an exchange.
+
+    A key that some member has not scored is left out; one that a member scored
+    twice is an error. Both are found within a bucket.
+    """
+    sides = []
+    for i, table in enumerate(tables):
+        twice = F.raise_error(F.concat(F.lit(f"{key} is scored twice by one member: "), F.col(key).cast("string")))
+        grouped = spark.table(table).groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max("pred").alias("pred"))
+        sides.append(grouped.select(key, F.when(F.col("n") > 1, twice.cast("double")).otherwise(F.col("pred")).alias(f"pred_{i}")))
+    return reduce(lambda a, b: a.join(b.hint("merge"), key), sides)

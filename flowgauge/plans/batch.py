@@ -15,8 +15,10 @@ from flowgauge.operators import confusion as conf
 from flowgauge.operators import forests
 from flowgauge.operators.cleaning import clean, feature_columns, keep_labels, labelled
 from flowgauge.operators.counting import fingerprint, label_counts
+from flowgauge.operators.digests import digest_tree, write_tree
 from flowgauge.operators.sampling import balance, split
 from flowgauge.params import CleanParams, SampleParams, TrainParams
+from flowgauge.plans.published import publish
 from flowgauge.plans.runlog import StepLog, record_run
 from flowgauge.sources.contract import require_schema
 from flowgauge.sources.csv_files import infer_types, read_text_by_name, with_types
@@ -86,7 +88,8 @@ def run_batch(
     rows are cleaned, split and counted, and the whole test side is scored. Each
     table that later steps read more than once is written first, so that nothing
     is computed twice and a lost executor costs no more than one step. Scratch
-    tables go at the end of the run.
+    tables go at the end of the run. The run counts as finished once its record
+    is written, which is its last step; `plans.published` reads finished runs only.
     """
     if params.strict_schema and schema is None:
         raise ValueError("strict_schema needs a schema to hold the files against")
@@ -167,8 +170,10 @@ def _run(
     used = replace(params, train=replace(params.train, num_trees=train_params.num_trees, max_depth=train_params.max_depth))
     with log.step("record"):
         history = record_run(
-            spark, f"{out}/runs", run_id, fingerprint(train.select(key, "label")), record.first().asDict(), params_as_text(used)
+            spark, f"{out}/runs", run_id, fingerprint(train.select(key, "label")), record.first().asDict(), params_as_text(used), log.seconds()
         )
+        write_tree(digest_tree(rows, key, [key, "label", *features]), f"{base}/digests")
     steps = replace_table(log.shares(spark), f"{base}/steps")
+    publish(spark, out, run_id)
     found = history.filter(F.col("run_id") == run_id)
     return BatchResult(base, record, read_report(spark, f"{base}/reports", "per_class_metrics"), steps, found)

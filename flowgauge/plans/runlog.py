@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +15,9 @@ from flowgauge.functions.measures import ratio
 LOG_SCHEMA = "step string, rows bigint, seconds double"
 RECORD_SCHEMA = "run_id string, kind string, name string, value string"
 EXPORT = "export"
+# Kinds of the run log's rows, and the row that a finished run has.
+DATA, METRIC, PARAM, STEP, RUN = "data", "metric", "param", "step", "run"
+FINISHED = "finished"
 
 
 class Step:
@@ -38,6 +41,10 @@ class StepLog:
         yield step
         self._steps[name] = (step.rows, time.monotonic() - begun)
 
+    def seconds(self) -> list[tuple[str, float]]:
+        """Seconds of each step so far."""
+        return [(name, seconds) for name, (_, seconds) in self._steps.items()]
+
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame([(n, r, s) for n, (r, s) in self._steps.items()], LOG_SCHEMA)
 
@@ -80,13 +87,13 @@ def record_run(
     data: DataFrame,
     metrics: Mapping[str, float],
     params: Mapping[str, object],
+    steps: Sequence[tuple[str, float]] = (),
+    finished: int | None = None,
 ) -> DataFrame:
-    """Append one run's data fingerprint, metrics and parameters to the run log."""
+    """Append one run's data fingerprint, metrics, parameters, seconds by step and end (microseconds) to the run log."""
     print_ = data.first().asDict()
-    rows = [
-        (run_id, kind, name, str(value))
-        for kind, values in (("data", print_), ("metric", metrics), ("param", params))
-        for name, value in values.items()
-    ]
+    end = finished if finished is not None else time.time_ns() // 1000
+    kinds = ((DATA, print_), (METRIC, metrics), (PARAM, params), (STEP, dict(steps)), (RUN, {FINISHED: end}))
+    rows = [(run_id, kind, name, str(value)) for kind, values in kinds for name, value in values.items()]
     spark.createDataFrame(rows, RECORD_SCHEMA).coalesce(1).write.mode("append").parquet(path)
     return spark.read.schema(RECORD_SCHEMA).parquet(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from flowgauge.operators import counting, voting
 from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
 from flowgauge.registry.sql import F1, share, with_views
+from flowgauge.sources.scratch import fresh_dir, written
 
 
 @query("label_counts", with_views('select label, count(*) as "count" from flows group by label', "flows"))
@@ -37,6 +40,31 @@ def votes_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     return voting.votes_wide(wide.select("flow_id", F.inline(apart)), v.KEY, v.MEMBERS)
 
 
+@query(
+    "votes_bucketed",
+    with_views(
+        "select flow_id, "
+        + ", ".join(f"max(pred) filter (where model = {i}) as pred_{i}" for i in range(v.MEMBERS))
+        + " from members group by flow_id having count(*) filter (where flow_id % 13 <> model) = 10",
+        "members",
+    ),
+)
+def votes_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The votes of members stored apart, each of which has left out some flows."""
+    wide = _stored_scores(spark, sf_dir)
+    names = []
+    for i, member in enumerate(v.members()):
+        names.append(f"member_{i}_{uuid.uuid4().hex}")
+        rows = wide.where(F.col(v.KEY) % 13 != i).select(v.KEY, F.col(member).alias("prediction"))
+        voting.write_votes(rows, names[-1], fresh_dir(spark, "member-votes"), v.KEY, v.DEALT)
+    return voting.line_up_tables(spark, names, v.KEY)
+
+
+def _stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The members' predictions, scored once."""
+    return written(v.scored(spark, sf_dir, v.classes(spark, sf_dir)), "scored")
+
+
 @query(
     "majority_vote", with_views("select flow_id, label, label_index, final_prediction from voted", "voted")
 )

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,29 +32,37 @@ def scratch_base(spark: SparkSession) -> str:
 def fresh_dir(spark: SparkSession, name: str) -> str:
     """Path of a new folder; never reused, so no stale file is ever read."""
     path = f"{scratch_base(spark)}/{name}-{uuid.uuid4().hex}"
-    for made in _open_scopes:
+    for made in _open_scopes.get():
         made.append(path)
     return path
 
 
-_open_scopes: list[list[str]] = []
+# The scopes that this thread of work is in; `together` hands them to its threads.
+_open_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("open_scopes", default=())
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Removes, at its end, the scratch folders that were made inside it, and no others.
 
-    Tables that live on must be written elsewhere before that.
+    Inside means by the code that the scope surrounds, whatever other threads make
+    meanwhile. A scope in a scope removes its own folders at its end. Tables that
+    live on must be written elsewhere before that.
     """
     made: list[str] = []
-    _open_scopes.append(made)
+    before = _open_scopes.set((*_open_scopes.get(), made))
     try:
         yield
     finally:
-        _open_scopes.remove(made)
+        _open_scopes.reset(before)
         for path in made:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+            remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Removes a folder or file of any file system that Spark reads; one that is gone is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:

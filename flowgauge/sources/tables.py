@@ -42,10 +42,12 @@ def write_reports(tables: Mapping[str, DataFrame], base: str) -> dict[str, str]:
 
 
 def read_report(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """One written report table; a missing one is an error, never sample data."""
+    """One written report table; a missing one is an error, never sample data, and other faults stay what they are."""
     try:
         return spark.read.parquet(f"{base}/{name}")
     except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise MissingReport(f"report table {name} not found below {base}; run the export first") from error
 
 
