@@ -85,9 +85,12 @@ def check(rows, found):
         passing = [w[8] for w in wanted if w[1] == str(lang) and not w[7]]
         if passing:
             middle = np.median(np.round(np.array(passing) / Q.STEP)) * Q.STEP
-            spread = np.median(np.round(np.abs(np.array(passing) - middle) / Q.STEP)) * Q.STEP
-            width = max(Q.LEAST_BAND, Q.BAND * 1.4826 * spread)
-            bands[str(lang)] = middle - width, middle + width
+            width = []
+            for side in (-1, 1):
+                apart = [side * (x - middle) for x in passing if side * (x - middle) >= 0]
+                spread = np.median(np.round(np.array(apart) / Q.STEP)) * Q.STEP if apart else 0
+                width.append(max(Q.LEAST_BAND, Q.BAND * 1.4826 * spread))
+            bands[str(lang)] = middle - width[0], middle + width[1]
     got = sorted(
         ([r["id"] if r["id"] is not None else -1, str(r["lang"]), *(r[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "surprise", "kept"))] for r in found),
         key=str,
