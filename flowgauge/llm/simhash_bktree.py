@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.llm.batches import written_in_batches
 from flowgauge.llm.components import local_components, star_components
 from flowgauge.llm.entry import query, table
 from flowgauge.llm.words import LOWER, expand, joined_words, pieces, split_words, text_bytes
@@ -251,7 +252,7 @@ def near_links(prints: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """Per row: at (its position in the read), id, fp, component_id and stays, true for one row of each component."""
     named = df.select(F.monotonically_increasing_id().alias("at"), F.col(row_id).cast("long").alias("id"), F.col(text).alias("text"))
-    prints = written(named.mapInArrow(_print_batches, "at long, id long, fp long"), "prints")
+    prints = written_in_batches(named.mapInArrow(_print_batches, "at long, id long, fp long"), "prints")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
     groups = written(prints.groupBy("fp").agg(first.alias("first"), F.count(F.lit(1)).alias("n")), "print-groups")
     roots = star_components(near_links(groups.select("fp")))
