@@ -229,12 +229,23 @@ def _by_part(parts: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 def pair_parts(firsts: np.ndarray, followers: np.ndarray, hot: dict[int, int], parts: int) -> np.ndarray:
     """Part of each pair: by the first word, and for a hot one also by the follower."""
     out = firsts % np.uint64(parts)
-    for first, spread in hot.items():
-        mine = firsts == np.uint64(first)
-        out[mine] = (out[mine] + followers[mine] % np.uint64(spread)) % np.uint64(parts)
+    mine, which = found_among(firsts, hot)
+    spread = np.array(list(hot.values()), np.uint64)[which]
+    out[mine] = (out[mine] + followers[mine] % spread) % np.uint64(parts)
     return out.astype(np.int64)
 
 
+def found_among(firsts: np.ndarray, hot: dict[int, object]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the first words that are hot, and the number of each among the hot ones; by one search for all."""
+    if not hot:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    names = np.array(list(hot), np.uint64)
+    order = np.argsort(names)
+    at = np.minimum(np.searchsorted(names, firsts, sorter=order), len(names) - 1)
+    mine = np.flatnonzero(names[order[at]] == firsts)
+    return mine, order[at[mine]]
+
+
 def pack_followers(followers: np.ndarray) -> bytes:
     """40-bit numbers, as they are."""
     return np.ascontiguousarray(followers).view(np.uint8).reshape(-1, 8)[:, :5].tobytes()
@@ -362,13 +373,15 @@ def _hot_sums(unigrams: Unigrams, discounts: Discounts, hot: dict[int, int]):
 
 def _pair_answers(unigrams: Unigrams, discounts: Discounts, hot: dict[int, tuple]):
     """Rows of pairs to the answers of each block: counts of its pairs, alphas of its first words."""
+    totals = np.array(list(hot.values()), float).T
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 firsts, sums = _context_sums(row, unigrams, discounts)
-                for first, total in hot.items():
-                    sums[:, firsts == np.uint64(first)] = np.array(total)[:, None]
+                mine, which = found_among(firsts, hot)
+                if len(mine):
+                    sums[:, mine] = totals[:, which]
                 alphas = _alpha(sums)
                 for a in row["answers"]:
                     mine = alphas[unpack(a["places"], np.int64, True)]

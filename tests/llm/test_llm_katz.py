@@ -133,3 +133,13 @@ def test_packing():
         assert np.array_equal(unpack(pack(np.sort(x), True), np.uint64, True), np.sort(x))
         assert bytes(unpack_bytes(pack_bytes(x.tobytes()))) == x.tobytes()
         assert np.array_equal(K.unpack_followers(K.pack_followers(x >> np.uint64(24))), x >> np.uint64(24))
+
+
+def test_thousands_of_hot_words_are_found_by_one_search():
+    draw = np.random.default_rng(3)
+    firsts, followers = draw.integers(0, 20_000, 100_000).astype(np.uint64), draw.integers(0, 2**40, 100_000).astype(np.uint64)
+    hot = {int(w): int(n) for w, n in zip(draw.permutation(20_000)[:5000], draw.integers(1, 50, 5000))}
+    found = K.pair_parts(firsts, followers, hot, 97)
+    wanted = [(int(a) % 97 + (int(b) % hot[int(a)] if int(a) in hot else 0)) % 97 for a, b in zip(firsts, followers)]
+    assert found.tolist() == wanted
+    assert (K.pair_parts(firsts, followers, {}, 97) == (firsts % np.uint64(97)).astype(int)).all()
