@@ -51,28 +51,31 @@ class Rollup:
     def _ledger(self) -> str:
         return f"{self.base}/ledger"
 
-    def _committed(self) -> dict[str, str]:
-        """Folder by batch; the driver holds one name for each batch since the last compaction."""
-        rows = self.spark.read.schema(LEDGER).parquet(self._ledger).groupBy("batch").agg(F.min("folder").alias("folder"))
-        return {r["batch"]: r["folder"] for r in rows.collect()}
+    def _committed(self) -> DataFrame:
+        """(batch, folder): one row a batch, also of those before the last compaction, whose folder is null."""
+        return self.spark.read.schema(LEDGER).parquet(self._ledger).groupBy("batch").agg(F.min("folder").alias("folder"))
 
-    def _append(self, names: list[tuple[str, str | None]], mode: str = "append") -> None:
-        self.spark.createDataFrame(names, LEDGER).coalesce(1).write.mode(mode).parquet(self._ledger)
+    def _append(self, names: DataFrame, mode: str = "append") -> None:
+        names.select("batch", "folder").coalesce(1).write.mode(mode).parquet(self._ledger)
+
+    def _named(self, batch: str, folder: str) -> DataFrame:
+        return self.spark.createDataFrame([(batch, folder)], LEDGER)
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of changes; False, and no effect, if the batch is committed already."""
         if batch == SUMMARY:
             raise ValueError(f"{SUMMARY} is not the name of a batch")
-        if batch in self._committed():
+        if not self._committed().where(F.col("batch") == batch).isEmpty():
             return False
         folder = f"{self.base}/deltas-{uuid.uuid4().hex}"
         signed_sums(changes).write.parquet(folder)
-        self._append([(batch, folder)])
+        self._append(self._named(batch, folder))
         return True
 
     def totals(self) -> DataFrame:
         """(source, lang, version, docs, tokens) of all committed batches; keys whose sums are 0 are gone."""
-        folders = sorted({f for f in self._committed().values() if f})
+        # The driver holds a folder for each batch since the last compaction, and no older names.
+        folders = sorted(r["folder"] for r in self._committed().where("folder is not null").select("folder").distinct().collect())
         if not folders:
             return self.spark.createDataFrame([], TOTALS)
         sums = self.spark.read.schema(TOTALS).parquet(*folders).groupBy(*KEYS)
@@ -80,11 +83,11 @@ class Rollup:
 
     def compact(self, base: str) -> Rollup:
         """The same totals in a new base, in one folder; the old base stays as it is."""
-        done = [(b, None) for b in self._committed() if b != SUMMARY]
+        done = self._committed().where(F.col("batch") != SUMMARY).select("batch", F.lit(None).cast("string").alias("folder"))
         folder = f"{base}/deltas-{uuid.uuid4().hex}"
         self.totals().write.parquet(folder)
         compacted = Rollup(self.spark, base)
-        compacted._append([*done, (SUMMARY, folder)], "errorifexists")
+        compacted._append(done.unionByName(compacted._named(SUMMARY, folder)), "errorifexists")
         return compacted
 
 
@@ -110,7 +113,7 @@ with counted as (
   select source, lang,
     len(regexp_extract_all(coalesce(text, ''), '{WORDS}')) as words,
     len(regexp_extract_all(coalesce(text, ''), '{ALNUM}')) as alnum,
-    row_number() over (partition by coalesce(text, '') order by doc_id) as copy
+    row_number() over (partition by coalesce(text, '') order by doc_id nulls last) as copy
   from documents
 )
 select source, lang, case when words <> alnum then 'alnum-2' else 'words-1' end as version,
@@ -121,16 +124,22 @@ from counted where copy = 1 group by 1, 2, 3
 
 @query("op7_delta_rollups", SQL)
 def op7(spark, sf_dir):
-    """All documents come in, later copies of a text go, counts that a second tokenizer sees otherwise are revised."""
+    """All documents come in, later copies of a text go, counts that a second tokenizer sees otherwise are revised.
+
+    The first copy is that of the smallest id, a null id coming last, and of equal
+    ids that of the first place; all other rows of the text are copies.
+    """
     text = F.coalesce("text", F.lit(""))
     counted = table(spark, sf_dir, "documents").select(
         "doc_id", "source", "lang", F.sha2(text, 256).alias("digest"),
         F.regexp_count(text, F.lit(WORDS)).alias("words"), F.regexp_count(text, F.lit(ALNUM)).alias("alnum"),
+        F.monotonically_increasing_id().alias("at"),
     )
     counted = written(counted, "token-counts")
-    first = counted.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    marked = counted.join(first.select("digest", "first"), "digest", "left")
-    again = F.col("first").isNotNull() & (F.col("doc_id") > F.col("first"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "at")
+    first = counted.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    marked = counted.join(first.select("digest", F.col("first.at").alias("first")), "digest", "left")
+    again = F.col("first").isNotNull() & (F.col("at") != F.col("first"))
 
     words = state(F.col("source"), F.col("lang"), F.lit("words-1"), F.col("words"))
     alnum = state(F.col("source"), F.col("lang"), F.lit("alnum-2"), F.col("alnum"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import duckdb
 import pytest
 from oracle import connect, difference
 
@@ -30,6 +31,19 @@ def test_query(spark, sf_dir):
     assert difference(entry.run(spark, sf_dir), connect(sf_dir), entry.sql) is None
 
 
+def test_query_with_null_ids_and_repeated_rows(spark, tmp_path):
+    rows = [(1, "a b", "en"), (1, "a b", "en"), (None, "x-y", "de"), (None, "x-y", "de"), (2, None, "en"), (3, "", "en"), (None, "a b", "en"), (4, "a b", "de")]
+    frame = spark.createDataFrame([(i, t, lang, "s", len(t or "")) for i, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    folder = str(tmp_path)
+    frame.coalesce(1).write.parquet(f"{folder}/documents.parquet")
+    entry = QUERIES["op7_delta_rollups"]
+    found = sorted(tuple(r) for r in entry.run(spark, folder).collect())
+    assert found == [("s", "de", "alnum-2", 1, 2), ("s", "en", "words-1", 2, 2)]
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{folder}/documents.parquet/*.parquet'")
+    assert found == sorted(con.execute(entry.sql).fetchall())
+
+
 def test_signed_changes(spark, rollup):
     a, b = ("s", "en", "v1", 10), ("s", "en", "v1", 4)
     assert totals(rollup) == {}
@@ -47,7 +61,7 @@ def test_a_batch_counts_once(spark, rollup):
     # Two drivers that both wrote the batch before either was in the ledger.
     folder = f"{rollup.base}/deltas-zzz"
     D.signed_sums(batch).write.parquet(folder)
-    rollup._append([("1", folder)])
+    rollup._append(rollup._named("1", folder))
     assert totals(rollup) == {("s", "en", "v1"): (1, 10)}
 
 
