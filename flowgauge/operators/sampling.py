@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions.hashing import HASH_SPAN, hash_bucket, hash_number, hash_text
 from flowgauge.operators.cleaning import labelled
+from flowgauge.sources.scratch import lookup
+
+# Size of the quantile sketches: some 16 KB a class, ranks right to about 0.1 percent.
+SKETCH = 2048
 
 
 def balance(
@@ -110,16 +114,93 @@ def _ranked_in_band(
     slots = near.groupBy("label", "cap", F.when(F.col("number") >= F.col("low"), row).alias("row")).agg(
         F.count(F.lit(1)).alias("n")
     )
+    found = {}
+    for r in _at_cap(slots).collect():
+        if r["row"] is None:
+            continue
+        if r["upto"] > r["cap"]:
+            raise ValueError(f"{key} is not unique within class {r['label']}")
+        found[r["label"]] = (r["row"]["hash"], r["row"]["key"])
+    return found
+
+
+def _at_cap(slots: DataFrame) -> DataFrame:
+    """Of (label, cap, row, n) the row of each class at which the running number of rows reaches the cap; a null row stands for all before the band."""
     running = W.partitionBy("label").orderBy(F.col("row").asc_nulls_first())
     ranked = slots.withColumn("upto", F.sum("n").over(running))
-    last = ranked.filter((F.col("upto") >= F.col("cap")) & (F.col("upto") - F.col("n") < F.col("cap")))
+    return ranked.filter((F.col("upto") >= F.col("cap")) & (F.col("upto") - F.col("n") < F.col("cap")))
+
+
+def first_per_class(df: DataFrame, caps: Mapping[str, int], order: Column, key: str, label: str = "label", width: int = SKETCH) -> DataFrame:
+    """At most caps[c] rows of each capped class, those first in `order` (a bigint, nulls last, ties by key as text); all rows of other classes.
+
+    The order may be spread in any way, as the arrival times of a burst are, so the
+    cutoff cannot be guessed from a class's size. One pass makes a mergeable
+    quantile sketch of each class, which holds its size and its quantiles at once;
+    a second one ranks the rows of a narrow band around the cutoff. Should the
+    sketch's error have missed it, the band is widened, with no new pass for sizes.
+    """
+    value = order.cast("bigint")
+    some = {c: n for c, n in caps.items() if n > 0}
+    capped = df.filter(F.col(label).isin(*some)).select(F.col(label).alias("label"), value.alias("value"), F.col(key).cast("string").alias("key"))
+    cutoffs = _sketched_cutoffs(capped, some, key, width)
+    row = F.struct(value.isNull(), value, F.col(key).cast("string"))
+    keep = F.lit(True)
+    for name, last in cutoffs.items():
+        keep = F.when(F.col(label) == name, row <= F.struct(F.lit(last[0]), F.lit(last[1]).cast("bigint"), F.lit(last[2]))).otherwise(keep)
+    empty = [c for c, cap in caps.items() if cap <= 0]
+    return labelled(df, label).filter(keep & ~F.col(label).isin(*empty) if empty else keep)
+
+
+def _sketched_cutoffs(rows: DataFrame, caps: Mapping[str, int], key: str, width: int) -> dict[str, tuple]:
+    """(no value, value, key) of the last row to keep of each class over its cap."""
+    sketched = F.kll_sketch_agg_bigint("value", F.lit(width)).alias("sketch")
+    sizes = [F.count(F.lit(1)).alias("n"), F.count("value").alias("known")]
+    found: dict[str, tuple] = {}
+    if not caps:
+        return found
+    classes = lookup(rows.groupBy("label").agg(sketched, *sizes))
+    over = {r["label"]: r for r in classes.select("label", "n", "known").collect() if r["n"] > caps[r["label"]]}
+    wanted, spread = {c: caps[c] for c in over}, 1.0
+    while wanted:
+        error = 4.0 * spread / width**0.9
+        ranks = {c: (cap / over[c]["known"] - error, cap / over[c]["known"] + error) if over[c]["known"] else (0, 1) for c, cap in wanted.items()}
+        bands = _sketch_bands(classes, ranks)
+        found.update(_ranked_values(rows, wanted, bands, key))
+        wanted = {c: cap for c, cap in wanted.items() if c not in found and bands[c] != (None, None)}
+        spread *= 8
+    return found
+
+
+def _sketch_bands(classes: DataFrame, ranks: Mapping[str, tuple[float, float]]) -> dict[str, tuple[int | None, int | None]]:
+    """The values of each class at its two ranks; None where a rank lies outside all values."""
+
+    def at(which: int) -> Column:
+        out = F.lit(None).cast("bigint")
+        for name, pair in ranks.items():
+            if 0 < pair[which] < 1:
+                quantile = F.kll_sketch_get_quantile_bigint("sketch", F.lit(float(pair[which])))
+                out = F.when(F.col("label") == name, quantile).otherwise(out)
+        return out
+
+    rows = classes.filter(F.col("label").isin(*ranks)).select("label", at(0).alias("low"), at(1).alias("high"))
+    return {r["label"]: (r["low"], r["high"]) for r in rows.collect()}
+
+
+def _ranked_values(rows: DataFrame, caps: Mapping[str, int], bands: Mapping[str, tuple], key: str) -> dict[str, tuple]:
+    low, high = (_per_class({c: b[i] for c, b in bands.items() if b[i] is not None}, "label") for i in (0, 1))
+    near = rows.filter(F.col("label").isin(*caps)).withColumns({"low": low, "high": high, "cap": _per_class(caps, "label")})
+    near = near.filter(F.col("high").isNull() | (F.col("value") <= F.col("high")))
+    row = F.struct(F.col("value").isNull().alias("none"), "value", "key")
+    before = F.coalesce(F.col("value") < F.col("low"), F.lit(False))
+    slots = near.groupBy("label", "cap", F.when(~before, row).alias("row")).agg(F.count(F.lit(1)).alias("n"))
     found = {}
-    for r in last.collect():
+    for r in _at_cap(slots).collect():
         if r["row"] is None:
             continue
         if r["upto"] > r["cap"]:
             raise ValueError(f"{key} is not unique within class {r['label']}")
-        found[r["label"]] = (r["row"]["hash"], r["row"]["key"])
+        found[r["label"]] = tuple(r["row"])
     return found
 
 

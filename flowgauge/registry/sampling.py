@@ -11,6 +11,7 @@ from flowgauge.plans.reports import top_importances
 from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
 from flowgauge.registry.sql import below, bucket, digest, with_views
+from flowgauge.streaming.windows import event_time
 
 _CAP = "case label " + " ".join(f"when '{c}' then {n}" for c, n in v.CAPS.items()) + " end"
 _RANKED = f"""
@@ -44,6 +45,21 @@ def balance_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ops.balance(rows, v.CAPS, v.KEY, v.SEED)
 
 
+@query(
+    "newest_per_class",
+    with_views(
+        f"""select flow_id, label from (
+              select flow_id, label, row_number() over (partition by label order by epoch_us(ts) desc, flow_id::varchar) as place, {_CAP} as cap from flows)
+            where cap is null or place <= cap""",
+        "flows",
+    ),
+)
+def newest_per_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest flows of the capped classes, and all flows of the others."""
+    rows = v.flows(spark, sf_dir).select("flow_id", "label", (-F.unix_micros(event_time(F.col("ts")))).alias("age"))
+    return ops.first_per_class(rows, v.CAPS, F.col("age"), v.KEY).select("flow_id", "label")
+
+
 @query("union_all_classes", with_views("select flow_id, label from dirty where label <> 'NULL'", "dirty"))
 def union_all_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = v.dirty(spark, sf_dir).select("flow_id", "label")

@@ -97,3 +97,29 @@ def test_balanced_rows_match_the_keep_ratio(spark, sf_dir):
 
     rows = v.dirty(spark, sf_dir)
     assert keep_ratio(rows, v.CAPS).first().balanced_rows == ops.balance(rows, v.CAPS, v.KEY, v.SEED).count()
+
+
+@pytest.mark.parametrize("width", [8, 256])
+@pytest.mark.parametrize("caps", [{"hot": 100, "warm": 50}, {"hot": 3000}, {"hot": 2999, "c5": 1, "warm": 10**6}, {"hot": 0, "absent": 3}, {}])
+def test_first_rows_of_each_class_in_any_order(spark, caps, width):
+    """A skewed order with ties and nulls, sketches so small that bands miss."""
+    order = F.when(F.col("flow_id") % 50 != 7, F.floor(F.exp((F.col("flow_id") * 37 % 6000) / 400.0)).cast("long"))
+    df = _skewed(spark).withColumn("age", order)
+    rows = df.collect()
+    wanted = set()
+    for name in {r.label for r in rows}:
+        mine = sorted((r for r in rows if r.label == name), key=lambda r: (r.age is None, r.age or 0, str(r.flow_id)))
+        wanted |= {r.flow_id for r in mine[: caps.get(name, len(mine))]}
+    found = ops.first_per_class(df.repartition(5), caps, F.col("age"), "flow_id", width=width).collect()
+    assert {r.flow_id for r in found} == wanted and len(found) == len(wanted)
+
+
+def test_sizes_and_quantiles_come_from_one_pass(spark, monkeypatch):
+    """The table is read by one sketch pass, one ranking and one filter, where counting and quantiles apart read it once more."""
+    reads = []
+    df = _skewed(spark)
+    for name in ("_sketch_bands", "_ranked_values", "_class_sizes"):
+        real = getattr(ops, name)
+        monkeypatch.setattr(ops, name, lambda *a, real=real, name=name: (reads.append(name), real(*a))[1])
+    ops.first_per_class(df, {"hot": 100}, F.col("flow_id"), "flow_id").collect()
+    assert reads == ["_sketch_bands", "_ranked_values"]
