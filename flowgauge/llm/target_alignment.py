@@ -535,7 +535,86 @@ def damaged(df: DataFrame) -> DataFrame:
     return changed.drop("copy")
 
 
-@query("op11_target_alignment")
+# The cheapest paths of the grammar's machine, row by row; the least audit goes with the least cost.
+SQL = r"""
+with recursive crc_table as (
+  select list(list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by i) as t
+  from range(256) r(i)
+),
+drawn as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    xor(list_reduce(list_prepend(4294967295, list_transform(
+      string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: ord(x)::bigint)),
+      lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 20 as draw
+  from conversations, crc_table
+),
+damaged as (
+  select conv_id, turn, case when draw = 4 then 'user' else role end as role,
+    case draw when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text
+  from drawn, range(2) c(copy) where draw <> 0 and (copy = 0 or draw = 3)
+),
+ordered as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+    not regexp_matches(text, '[^\x20\x09-\x0D]') as blank,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as last
+  from damaged
+),
+judged as (
+  select *, not blank and row_number() over (partition by conv_id, role, text order by i) > 1 as again,
+    lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as pair
+  from ordered
+),
+rows_ as (select *, blank or again as forced, not blank and not again and last not in ('.', '!', '?') as truncated from judged),
+convs as (
+  select c.conv_id, count(r.i) as n, count(*) filter (where r.blank) as blank, count(*) filter (where r.again) as duplicate,
+    count(*) filter (where r.truncated) as truncated,
+    count(*) filter (where r.pair is not null and r.pair not in ('su', 'ua', 'au')) as illegal,
+    coalesce(max(r.turn) - min(r.turn) + 1 - count(distinct r.turn), 0) as gaps
+  from (select distinct conv_id from conversations) c left join rows_ r on r.conv_id is not distinct from c.conv_id
+  group by c.conv_id
+),
+edits(letter, inserts) as (values ('D', 0), ('K', 0), ('K', 1), ('R', 0), ('R', 1)),
+paths(conv_id, i, state, cost, audit) as (
+  select conv_id, 0::bigint, 0, 0::bigint, '' from convs
+  union all
+  select conv_id, i, state, cost, audit from (
+    select p.conv_id, r.i, case when letter = 'D' then p.state when here = 0 and sign = 's' and letter = 'K' then 1 when here = 2 then 3 else 2 end as state,
+      p.cost + 5 * inserts + case letter when 'D' then 2 else case letter when 'R' then 1 else 0 end + case when truncated then 5 else 0 end end as cost,
+      p.audit || repeat('I', inserts) || letter as audit
+    from (select *, case when inserts = 0 then state when state = 2 then 3 else 2 end as here from paths, edits) p
+    join (select *, left(role, 1) as sign from rows_) r on r.conv_id is not distinct from p.conv_id and r.i = p.i + 1
+    where letter = 'D' or not forced and (
+      letter = 'K' and (sign = 's' and here = 0 and inserts = 0 or sign = 'u' and here <> 2 or sign = 'a' and here = 2)
+      or letter = 'R' and sign <> case when here = 2 then 'a' else 'u' end)
+  ) qualify row_number() over (partition by conv_id, i, state order by cost, audit) = 1
+),
+ended as (
+  select c.*, p.cost + case p.state when 2 then 5 when 1 then 10 else 0 end as cost,
+    p.audit || case p.state when 2 then 'I' when 1 then 'II' else '' end as audit
+  from convs c join paths p on p.conv_id is not distinct from c.conv_id and p.i = c.n
+  qualify row_number() over (partition by c.conv_id order by p.cost + case p.state when 2 then 5 when 1 then 10 else 0 end, p.audit || case p.state when 2 then 'I' when 1 then 'II' else '' end) = 1
+),
+letters as (
+  select conv_id, place, letter, count(*) filter (where letter <> 'I') over w as i, count(*) filter (where letter <> 'D') over w as o
+  from (select conv_id, unnest(string_split(audit, '')) as letter, generate_subscripts(string_split(audit, ''), 1) as place from ended where audit <> '')
+  window w as (partition by conv_id order by place)
+),
+said as (
+  select l.conv_id, l.o, l.letter, r.role, case when l.letter = 'I' then '' else r.text end as text,
+    max(case when l.o = 1 and l.letter = 'K' and left(r.role, 1) = 's' then 1 else 0 end) over (partition by l.conv_id) as led
+  from letters l left join rows_ r on r.conv_id is not distinct from l.conv_id and r.i = l.i and l.letter <> 'I'
+  where l.letter <> 'D'
+),
+repaired as (
+  select conv_id, string_agg(case when letter = 'K' then role when (o - led) % 2 = 1 then 'user' else 'assistant' end || ':' || text, chr(10) order by o) as whole
+  from said group by conv_id
+)
+select e.conv_id, e.gaps, e.blank, e.duplicate, e.truncated, e.illegal, e.cost, e.audit, sha256(coalesce(r.whole, '')) as repaired_sha256
+from ended e left join repaired r on r.conv_id is not distinct from e.conv_id
+"""
+
+
+@query("op11_target_alignment", SQL)
 def op11(spark, sf_dir):
     rows = damaged(table(spark, sf_dir, "conversations"))
     found = repair_conversations(rows, present=F.col("present"))

@@ -7,9 +7,11 @@ import random
 import zlib
 from contextlib import contextmanager
 
+import duckdb
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from oracle import connect, difference
 
 from flowgauge.llm import target_alignment as A
 from flowgauge.llm import turn_rendering as R
@@ -119,6 +121,20 @@ def conversations(spark, sf_dir):
     return [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
 
 
+@pytest.mark.parametrize("name", ["op11_target_alignment", "op13_incremental_rendering"])
+def test_sql_says_the_same(spark, sf_dir, name):
+    assert difference(QUERIES[name].run(spark, sf_dir), connect(sf_dir), QUERIES[name].sql) is None
+
+
+def test_sql_of_the_repair_on_any_rows(spark):
+    rows = [r for r in wild(4, 40) if r[0] != 3]
+    con = duckdb.connect()
+    con.execute("create table conversations (conv_id bigint, turn bigint, role varchar, text varchar)")
+    con.executemany("insert into conversations values (?, ?, ?, ?)", rows)
+    found = {r[0]: tuple(r[1:]) for r in con.execute(QUERIES["op11_target_alignment"].sql).fetchall()}
+    assert found == plain_repair(rows)
+
+
 def wild(seed, n):
     """Conversations of any roles, nulls, ties and one of many rows."""
     draw = random.Random(seed)
