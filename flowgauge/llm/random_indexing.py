@@ -20,7 +20,7 @@ alike, an empty table gives an empty result, and other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -104,15 +104,44 @@ def _context_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     )
 
 
-def _add_up(rows: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(s, np.int64) for s in rows.column("sums").to_pylist()], axis=0)
-    return pa.table({"part": rows.column("part").slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+def _add_up(names: tuple[str, ...]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sums of the neighbouring rows with equal names, as a stream: one sum is held at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, None
+        schema = pa.schema([*[(n, pa.int32()) for n in names], ("sums", pa.binary())])
+
+        def closed() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([v], k.type) for v, k in zip((*now, total.tobytes()), schema)], schema=schema)
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                here = tuple(batch.column(n)[i].as_py() for n in names)
+                sums = np.frombuffer(batch.column("sums")[i].as_buffer(), np.int64)
+                if here == now:
+                    total += sums
+                    continue
+                if now is not None:
+                    yield closed()
+                now, total = here, sums.copy()
+        if now is not None:
+            yield closed()
+
+    return run
+
+
+def summed(parts: DataFrame) -> DataFrame:
+    """Rows (part, sums) of all map tasks summed to one row a part, in two levels: tasks are dealt to blocks first."""
+    blocks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = parts.withColumn("task", (F.spark_partition_id() % blocks).cast("int"))
+    some = dealt.repartition("part", "task").sortWithinPartitions("part", "task").mapInArrow(_add_up(("part", "task")), "part int, task int, sums binary")
+    return some.repartition("part").sortWithinPartitions("part").mapInArrow(_add_up(("part",)), "part int, sums binary")
 
 
 def context_vectors(documents: DataFrame, text: str = "text") -> np.ndarray:
     """SLOTS x DIMENSIONS: how the neighbours of a slot's tokens differ from those of any token."""
     named = documents.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
-    parts = named.mapInArrow(_context_batches, "part int, sums binary").groupBy("part").applyInArrow(_add_up, "part int, sums binary")
+    parts = summed(named.mapInArrow(_context_batches, "part int, sums binary"))
     sums = np.zeros((GROUPS, SLOTS // GROUPS * (DIMENSIONS + 1)))
     for row in parts.collect():  # GROUPS rows of a fixed size
         sums[row["part"]] = np.frombuffer(row["sums"], np.int64)
@@ -227,9 +256,10 @@ def classify(
     known = labels.select(F.col(row_id).alias("id"), F.col(label).cast("double").alias("label")).where("id is not null and label in (0, 1)")
     known = known.where(id_remainder(F.col("id"), FOLDS) != HELD_OUT).groupBy("id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
     sample = known.where("label = other").drop("other").orderBy(F.xxhash64("id"), "id").limit(most_rows)
-    labelled = named.join(F.broadcast(sample), "id").select("id", "label", "text")
+    # A repeated id trains once, with its least text, so the driver holds `most_rows` vectors at most.
+    labelled = named.join(F.broadcast(sample), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
     rows = sorted(labelled.mapInArrow(_vector_batches(vectors), "id long, label double, x array<double>").collect())
-    seen = dict((r["id"], (r["label"], r["x"])) for r in rows)  # a repeated document trains once
+    seen = dict((r["id"], (r["label"], r["x"])) for r in rows)
     x = np.array([v[1] for v in seen.values()]).reshape(len(seen), POOLED)
     y = np.array([v[0] for v in seen.values()])
     calibration = mix(np.array(list(seen), np.int64).view(np.uint64)) % np.uint64(CALIBRATION) == 0

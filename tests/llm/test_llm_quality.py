@@ -174,6 +174,22 @@ def test_classifier_on_held_out_labels(spark):
     assert np.mean([g > b for g in good for b in bad]) > 0.95
 
 
+def test_sums_of_many_tasks_meet_in_two_levels(spark):
+    """Sums of 1,000 map tasks: no task of the first level reads more than its share, and none more than a few of a part."""
+    tasks, parts = 1000, 4
+
+    def some(batches):
+        for batch in batches:
+            for i in batch.column("id").to_pylist():
+                rows = [np.full(50, i * (p + 1), np.int64).tobytes() for p in range(parts)]
+                yield pa.RecordBatch.from_pydict({"part": pa.array(range(parts), pa.int32()), "sums": pa.array(rows, pa.binary())})
+
+    given = spark.range(0, tasks, 1, tasks).mapInArrow(some, "part int, sums binary")
+    found = {r["part"]: np.frombuffer(r["sums"], np.int64) for r in R.summed(given).collect()}
+    assert set(found) == set(range(parts))
+    assert all((v == (p + 1) * tasks * (tasks - 1) // 2).all() for p, v in found.items())
+
+
 def test_classifier_edges(spark):
     frame = edge_documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
