@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from flowgauge.streaming.alerts import ALERTS
+
 START, END, COUNT = "window_start", "window_end", "alerts"
 _SPAN = "_span"
 
@@ -53,6 +55,30 @@ def once(rows: DataFrame, key: Sequence[str], time: str, delay: str) -> DataFram
     return rows.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(key))
 
 
+def start_alert_windows(
+    spark: SparkSession,
+    alert_job: str,
+    out: str,
+    checkpoint: str,
+    key: str,
+    time: str,
+    size: str,
+    delay: str,
+    by: Sequence[str] = ("alert",),
+    trigger: Mapping[str, object] | None = None,
+) -> StreamingQuery:
+    """Count the alerts that an alert job writes, by class and window, each alert once.
+
+    The job must keep the event time in its alerts. A micro-batch that it runs again
+    after a failure puts its rows into new files, and sources may repeat rows too;
+    both count once as long as they come within the delay.
+    """
+    folder = f"{alert_job}/{ALERTS}"
+    stream = spark.readStream.schema(spark.read.parquet(folder).schema).parquet(folder)
+    counts = _counted(once(stream, [key], time, delay), F.window(time, size), by)
+    return start_to_files(counts, out, checkpoint, trigger)
+
+
 def start_to_files(stream: DataFrame, out: str, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
     """Append finished rows to Parquet files; the same checkpoint goes on where the last run ended."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint)

@@ -95,6 +95,28 @@ def test_repeated_deliveries_give_each_alert_once_and_state_shrinks(spark, place
     assert max(held) < len(found) and held[-1] < max(held), held
 
 
+def test_windows_over_the_files_of_an_alert_job(spark, places):
+    """A micro-batch of the alert job that was run again, after the windows had read its first files."""
+    job, out, checkpoint = places
+
+    def batch(number, rows):
+        frame = spark.createDataFrame([(i, kind, minute(m)) for i, kind, m in rows], "flow_id long, alert string, at timestamp")
+        frame.coalesce(1).write.mode("overwrite").parquet(f"{job}/alerts/batch={number}")
+
+    def count():
+        ops.start_alert_windows(spark, job, out, checkpoint, "flow_id", "at", "10 minutes", "30 minutes").awaitTermination()
+        rows = spark.read.parquet(out).select("alert", F.unix_seconds(ops.START).alias("s"), ops.COUNT).collect()
+        assert len({(r["alert"], r["s"]) for r in rows}) == len(rows)
+        return {(r["alert"], (r["s"] - int(ZERO.timestamp())) // 60): r[ops.COUNT] for r in rows}
+
+    first = [(1, "scan", 1), (2, "scan", 2), (3, "flood", 12)]
+    batch(0, first)
+    assert count() == {}
+    batch(0, [*first, (4, "flood", 13)])
+    batch(1, [(3, "flood", 12), (5, "scan", 14), (6, "scan", 90)])
+    assert count() == {("scan", 0): 2, ("flood", 10): 2, ("scan", 10): 1}
+
+
 def test_event_time_does_not_follow_the_session_zone(spark):
     rows = spark.sql("select timestamp_ntz'2024-01-01 00:00:07.179575' as ts")
     zone = spark.conf.get("spark.sql.session.timeZone")
