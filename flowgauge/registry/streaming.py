@@ -22,6 +22,7 @@ WINDOW, WINDOW_DELAY = "6 hours", "12 hours"
 GAP, GAP_DELAY = "6 hours", "11 days"
 REPEAT_DELAY = "16 days"
 SLICE_DAYS = 5
+STATE_PARTS = 4
 
 
 def arriving(df: DataFrame, spark: SparkSession) -> str:
@@ -77,7 +78,7 @@ def _delivered(rows: DataFrame, times: int = 1) -> tuple[DataFrame, DataFrame]:
 def _run(stream: DataFrame, spark: SparkSession) -> tuple[DataFrame, str]:
     """What the job writes until the deliveries end, and its checkpoint."""
     out, checkpoint = fresh_dir(spark, "windows"), fresh_dir(spark, "windows-progress")
-    windows.start_to_files(stream, out, checkpoint).awaitTermination()
+    windows.start_to_files(stream, out, checkpoint, state_parts=STATE_PARTS).awaitTermination()
     return spark.read.schema(stream.schema).parquet(out), checkpoint
 
 

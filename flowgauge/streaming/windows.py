@@ -79,10 +79,23 @@ def start_alert_windows(
     return start_to_files(counts, out, checkpoint, trigger)
 
 
-def start_to_files(stream: DataFrame, out: str, checkpoint: str, trigger: Mapping[str, object] | None = None) -> StreamingQuery:
-    """Append finished rows to Parquet files; the same checkpoint goes on where the last run ended."""
+def start_to_files(
+    stream: DataFrame, out: str, checkpoint: str, trigger: Mapping[str, object] | None = None, state_parts: int | None = None
+) -> StreamingQuery:
+    """Append finished rows to Parquet files; the same checkpoint goes on where the last run ended.
+
+    `state_parts` is the number of parts of the state, by default the session's
+    shuffle partitions. It holds from the first start of a checkpoint on, whatever
+    later starts ask for. The session has its own setting back once the job runs.
+    """
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", out).option("checkpointLocation", checkpoint)
-    return writer.trigger(**(trigger or {"availableNow": True})).start()
+    conf, name = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    conf.set(name, str(state_parts or before))
+    try:
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
+    finally:
+        conf.set(name, before)
 
 
 def open_counts(spark: SparkSession, checkpoint: str) -> DataFrame:

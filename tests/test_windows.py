@@ -66,6 +66,16 @@ def test_a_restart_counts_nothing_twice(spark, places):
     assert {r["kind"]: r[ops.COUNT] for r in balance.collect()} == {"written": 6, "open": 1, "late": 1}
 
 
+def test_parts_of_the_state_are_the_jobs_own(spark, places):
+    arrivals, out, checkpoint = places
+    deliver(spark, arrivals, [(i, "a", i) for i in range(50)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    job = ops.start_to_files(windows(spark, arrivals), out, checkpoint, state_parts=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    job.awaitTermination()
+    assert job.recentProgress[0]["stateOperators"][0]["numShufflePartitions"] == 3
+
+
 def test_no_alerts_at_all(spark, places):
     arrivals, out, checkpoint = places
     deliver(spark, arrivals, [])
