@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterable
 from dataclasses import asdict, dataclass, field, fields, replace
@@ -170,7 +171,8 @@ def _run(
     used = replace(params, train=replace(params.train, num_trees=train_params.num_trees, max_depth=train_params.max_depth))
     with log.step("record"):
         history = record_run(
-            spark, f"{out}/runs", run_id, fingerprint(train.select(key, "label")), record.first().asDict(), params_as_text(used), log.seconds()
+            spark, f"{out}/runs", run_id, fingerprint(train.select(key, "label")), record.first().asDict(), params_as_text(used),
+            steps=log.seconds(), finished=time.time_ns() // 1000,
         )
         write_tree(digest_tree(rows, key, [key, "label", *features]), f"{base}/digests")
     steps = replace_table(log.shares(spark), f"{base}/steps")

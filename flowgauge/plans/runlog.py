@@ -90,10 +90,13 @@ def record_run(
     steps: Sequence[tuple[str, float]] = (),
     finished: int | None = None,
 ) -> DataFrame:
-    """Append one run's data fingerprint, metrics, parameters, seconds by step and end (microseconds) to the run log."""
+    """Append one run's data fingerprint, metrics and parameters to the run log, and its seconds by step and end (microseconds) if given.
+
+    Only runs with an end are put in order by the history.
+    """
     print_ = data.first().asDict()
-    end = finished if finished is not None else time.time_ns() // 1000
-    kinds = ((DATA, print_), (METRIC, metrics), (PARAM, params), (STEP, dict(steps)), (RUN, {FINISHED: end}))
+    end = {FINISHED: finished} if finished is not None else {}
+    kinds = ((DATA, print_), (METRIC, metrics), (PARAM, params), (STEP, dict(steps)), (RUN, end))
     rows = [(run_id, kind, name, str(value)) for kind, values in kinds for name, value in values.items()]
     spark.createDataFrame(rows, RECORD_SCHEMA).coalesce(1).write.mode("append").parquet(path)
     return spark.read.schema(RECORD_SCHEMA).parquet(path)
