@@ -16,6 +16,7 @@ from flowgauge.operators.forests import load_members, score_ensemble
 
 REASON = "reason"
 ALERTS, REJECTS, MODELS = "alerts", "rejects", "models"
+_VOTED = "_voted"
 
 
 def read_flow_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -67,8 +68,13 @@ def rejected(stream: DataFrame, assembler: VectorAssembler, key: str, keep: Sequ
 
 
 def alerts(scored: DataFrame, benign: float) -> DataFrame:
-    """Rows whose vote is not the benign class."""
-    return scored.filter(F.col("final_prediction") != F.lit(benign))
+    """Rows whose vote is not the benign class.
+
+    A filter on the vote itself would be pushed below it, and every mention of a
+    member in the vote would then predict or draw anew; one on a generated column stays.
+    """
+    voted = scored.withColumn(_VOTED, F.explode(F.array("final_prediction")))
+    return voted.filter(F.col(_VOTED) != F.lit(benign)).drop(_VOTED)
 
 
 def start_alerts(

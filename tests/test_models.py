@@ -142,6 +142,20 @@ def test_stream_equals_batch(spark, sf_dir, data, models):
     assert out.exceptAll(expected).count() == 0 and expected.exceptAll(out).count() == 0
 
 
+def test_alerts_predict_each_member_once(spark, sf_dir, models, capsys):
+    rows = modelling.feature_rows(spark, sf_dir)
+    scored = alerts.score_stream(rows, models, forests.assembler(v.FEATURES), v.KEY)
+    alerts.alerts(scored, 0.0).select("flow_id").explain()
+    assert capsys.readouterr().out.count("UDF(features") == len(models)
+
+
+def test_unequal_keys_count_repeats_and_nulls(spark):
+    found = spark.createDataFrame([(1,), (2,), (2,), (None,)], "flow_id long")
+    expected = spark.createDataFrame([(2,), (1,), (3,), (None,)], "flow_id long")
+    assert {tuple(r) for r in streaming.unequal_keys(found, expected).collect()} == {(2, 1), (3, -1)}
+    assert streaming.unequal_keys(found, found).count() == 0
+
+
 def test_stream_takes_up_where_it_stopped(spark, tmp_path):
     src, out, progress = (str(tmp_path / d) for d in ("src", "out", "progress"))
     schema = "flow_id long, final_prediction double"
