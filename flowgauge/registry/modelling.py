@@ -49,12 +49,18 @@ def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 class Prepared:
-    """Indexed and assembled flows, split into train and test."""
+    """Indexed and assembled flows, split into train and test.
+
+    The features are parsed and written once; index, vectors and streams read them from `path`.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        rows = feature_rows(spark, sf_dir)
-        self.indexer = forests.fit_indexer(rows)
-        self.table = forests.model_input(rows, v.FEATURES, self.indexer, v.KEY, v.TRAIN.layout)
+        parsed = feature_rows(spark, sf_dir)
+        self.path = fresh_dir(spark, "features")
+        parsed.write.parquet(self.path)
+        self.rows = spark.read.schema(parsed.schema).parquet(self.path)
+        self.indexer = forests.fit_indexer(self.rows)
+        self.table = forests.model_input(self.rows, v.FEATURES, self.indexer, v.KEY, v.TRAIN.layout)
         self.train, self.test = split(self.table, v.KEY, v.TEST_SHARE, v.SEED)
 
 

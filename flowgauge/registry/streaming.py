@@ -9,7 +9,7 @@ from flowgauge.operators import forests
 from flowgauge.operators.voting import agreement, with_vote
 from flowgauge.registry import views as v
 from flowgauge.registry.entry import query
-from flowgauge.registry.modelling import Prepared, feature_rows
+from flowgauge.registry.modelling import Prepared
 from flowgauge.registry.sql import with_views
 from flowgauge.sources.scratch import fresh_dir, written
 from flowgauge.streaming import alerts as ops
@@ -166,8 +166,7 @@ def _scored_stream(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     forests.save_members(models, data.indexer, v.FEATURES, saved)
     _, assembler, loaded = forests.load_members(saved)
 
-    rows = feature_rows(spark, sf_dir)
-    stream = ops.read_flow_stream(spark, arriving(rows, spark), rows.schema)
+    stream = ops.read_flow_stream(spark, data.path, data.rows.schema)
     scored = ops.score_stream(stream, loaded, assembler, v.KEY, keep=("label",))
     columns = scored.select("flow_id", "label", *forests.pred_columns(models), "final_prediction")
     done = ops.run_to_files(columns, fresh_dir(spark, "scored"), fresh_dir(spark, "scored-progress"))

@@ -72,6 +72,13 @@ def test_forests_do_not_depend_on_the_input_order(spark, sf_dir, data, models):
     assert refitted.toDebugString.split("\n", 1)[1] == models[0].toDebugString.split("\n", 1)[1]
 
 
+def test_features_are_parsed_once(spark, sf_dir, data, capsys):
+    data.rows.explain()
+    assert "get_json_object" not in capsys.readouterr().out
+    assert data.rows.exceptAll(modelling.feature_rows(spark, sf_dir)).count() == 0
+    assert data.rows.count() == data.table.count() > 0
+
+
 def test_members_learn_something(data, models):
     scored = forests.score_ensemble(data.test, models)
     right = scored.filter("label_index = final_prediction").count()
