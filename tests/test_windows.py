@@ -8,6 +8,8 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from flowgauge.registry import streaming
+from flowgauge.registry import views as v
 from flowgauge.sources.scratch import fresh_dir
 from flowgauge.streaming import windows as ops
 from flowgauge.streaming.alerts import read_flow_stream
@@ -135,3 +137,8 @@ def test_event_time_does_not_follow_the_session_zone(spark):
         assert rows.select(F.unix_micros(ops.event_time(F.col("ts")))).first()[0] == 1_704_067_207_179_575
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_timed_alerts_draw_each_member_once(spark, sf_dir, capsys):
+    streaming._timed_alerts(spark, sf_dir).explain()
+    assert capsys.readouterr().out.count("md5(") == v.MEMBERS
