@@ -9,11 +9,13 @@ not those of the final text. Where a turn's own text lies in its span is found b
 rendering it with two probe texts: they differ first where the text begins and
 last where it ends. The loss mask is the text of each assistant turn.
 
-A long conversation is rendered in blocks of BLOCK turns, each after the last
+A long conversation is rendered in blocks of BLOCK turns, each after the BLOCK
 turns before it, so the work grows with its turns and not with their square. That
 asks of a template that a turn's part depends on the turn before it at most, and on
-whether there is one. Each block renders its first turn after one and after two
-earlier turns; a difference marks the conversation like a rewrite.
+whether there is one. Each block renders its first turn after one and after BLOCK
+earlier turns; a difference marks the conversation like a rewrite, and so does a turn
+that changes one of the BLOCK before it, wherever in its block it stands. Earlier
+turns of another range are not known; two others stand in for them.
 
 Conversations are sorted over the whole table by ranges (`turns.py`). One that
 lies inside a range is finished there; one that goes on in the next range, or is
@@ -168,10 +170,10 @@ def _block(template: Template, turns: list[Turn], before: list[Turn] | None) ->
         alone = render_turns(template.render, turns, [])
         return alone, alone
     context = before if before else STAND_IN
-    later = render_turns(template.render, turns, context[-1:])
-    farther = render_turns(template.render, turns[:1], context)
-    moved = not later.rewritten and farther.text != later.text[: later.spans[0].end]
-    if moved or farther.rewritten:
+    later = render_turns(template.render, turns, context)
+    nearer = render_turns(template.render, turns[:1], context[-1:])
+    moved = not later.rewritten and nearer.text != later.text[: later.spans[0].end]
+    if moved or nearer.rewritten:
         later = Rendered(later.text, [], True)
     return (render_turns(template.render, turns, []) if before is None else later), later
 
@@ -187,8 +189,7 @@ def _pieces(rows: Iterator[dict], template: Template) -> Iterator[tuple[Piece, b
             alone, later = _block(template, turns, before)
             piece.blocks.append((turns, alone, later))
             piece.size += len(later.text)
-            before, turns = (before or STAND_IN)[-1:] + turns[-2:], []
-            before = before[-2:]
+            before, turns = [*(before or []), *turns][-BLOCK:], []
 
     for row in rows:
         if piece is None or row["conv"] != piece.conv:

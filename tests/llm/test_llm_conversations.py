@@ -275,3 +275,17 @@ def test_templates_that_rewrite_history(spark):
     assert found == {1: (True, 0), 2: (False, 3)}
     spans = R.render_turns(last_only, [("user", "a"), ("assistant", "bcd")], []).spans
     assert [(s.start, s.end, s.loss_start, s.loss_end) for s in spans] == [(0, 7, 0, 0), (7, 21, 18, 21)]
+
+
+def test_rewrites_further_back_are_found_wherever_they_stand(spark):
+    def hiding(turns):
+        """A turn that says hide empties the third one before it."""
+        gone = {i - 3 for i, (_, t) in enumerate(turns) if t == "hide"}
+        return "".join(f"[{r}]{'-' if i in gone else t}\n" for i, (r, t) in enumerate(turns))
+
+    template = R.Template(hiding, lambda text: [], lambda text: text)
+    hidden_at = {1: R.BLOCK - 1, 2: R.BLOCK, 3: R.BLOCK + 1, 4: 2 * R.BLOCK + 2, 5: None}
+    turns = [(c, t, ("user", "assistant")[t % 2], "hide" if t == at else f"said {t}") for c, at in hidden_at.items() for t in range(40)]
+    with many_parts(spark, "1"):
+        found = R.formatted_digests(frame_of(spark, [(0, 0, "user", "a"), *turns], 1), template).collect()
+    assert {r["conv"]: r["rewritten"] for r in found} == {0: False, 5: False} | {c: True for c in (1, 2, 3, 4)}
