@@ -23,6 +23,8 @@ GAP, GAP_DELAY = "6 hours", "11 days"
 REPEAT_DELAY = "16 days"
 SLICE_DAYS = 5
 STATE_PARTS = 4
+# Rows of a delivery for which it has one more file, and the state one more part.
+PART_ROWS = 100_000
 
 
 def arriving(df: DataFrame, spark: SparkSession) -> str:
@@ -58,27 +60,40 @@ def _timed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     class_rows = v.classes(spark, sf_dir)
     labels = [r["label"] for r in class_rows.orderBy("label_index").collect()]
-    found = ops.alerts(v.voted(spark, sf_dir, class_rows), ops.benign_index(labels, v.BENIGN)).select("flow_id", "final_prediction")
-    flows = v.flows(spark, sf_dir).select("flow_id", "user_id", windows.event_time(F.col("ts")).alias("at"))
+    voted = v.voted(spark, sf_dir, class_rows, keep=("user_id", "ts")).where(F.col(v.KEY).isNotNull())
+    at = windows.event_time(F.col("ts")).alias("at")
+    found = ops.alerts(voted, ops.benign_index(labels, v.BENIGN)).select("flow_id", "final_prediction", "user_id", at)
     day = F.floor((F.unix_micros("at") - FIRST_SECOND * 1_000_000) / (DAY * SLICE_DAYS * 1_000_000))
-    return found.join(flows, "flow_id").withColumn("delivery", (day + F.when(F.col("flow_id") % 11 == 3, 1).otherwise(0)).cast("int"))
+    return found.withColumn("delivery", (day + F.when(F.col("flow_id") % 11 == 3, 1).otherwise(0)).cast("int"))
 
 
-def _delivered(rows: DataFrame, times: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(stream, batch) of the rows: a file for each delivery, in order, one to a micro-batch; each comes `times` times over."""
+def _delivered(rows: DataFrame, times: int = 1, part_rows: int = PART_ROWS) -> tuple[DataFrame, DataFrame, int]:
+    """(stream, batch, parts) of the rows: deliveries in order, one to a micro-batch; each comes `times` times over.
+
+    All deliveries have the same number of files, which the stream takes at once: one
+    for every `part_rows` rows of the largest. `parts` is a size of state to go with it.
+    """
     spark = rows.sparkSession
-    kept = written(rows, "deliveries")
-    path = fresh_dir(spark, "arrivals")
-    for number in sorted(r[0] for r in kept.select("delivery").distinct().collect()):
+    kept = written(rows, "deliveries", by=["delivery"])
+    sizes = dict(kept.groupBy("delivery").count().collect())
+    files = max([1, *(-(-n // part_rows) for n in sizes.values())])
+    path, due = fresh_dir(spark, "arrivals"), 0
+    for number in sorted(sizes):
+        delivery = kept.where(F.col("delivery") == number)
         for _ in range(times):
-            kept.where(F.col("delivery") == number).coalesce(1).write.mode("append").parquet(path)
-    return ops.read_flow_stream(spark, path, kept.schema, files_per_trigger=1), kept
+            delivery.repartition(files).write.mode("append").parquet(path)
+            due += files
+            # A part without rows leaves no file; an empty one stands for it.
+            for _ in range(due - len(spark.read.schema(kept.schema).parquet(path).inputFiles())):
+                delivery.limit(0).coalesce(1).write.mode("append").parquet(path)
+    return ops.read_flow_stream(spark, path, kept.schema, files_per_trigger=files), kept, max(STATE_PARTS, files)
 
 
-def _run(stream: DataFrame, spark: SparkSession) -> tuple[DataFrame, str]:
+def _run(stream: DataFrame, parts: int) -> tuple[DataFrame, str]:
     """What the job writes until the deliveries end, and its checkpoint."""
+    spark = stream.sparkSession
     out, checkpoint = fresh_dir(spark, "windows"), fresh_dir(spark, "windows-progress")
-    windows.start_to_files(stream, out, checkpoint, state_parts=STATE_PARTS).awaitTermination()
+    windows.start_to_files(stream, out, checkpoint, state_parts=parts).awaitTermination()
     return spark.read.schema(stream.schema).parquet(out), checkpoint
 
 
@@ -116,8 +131,8 @@ _WINDOWED = f"""
 )
 def stream_alert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts per class and window of event time from deliveries out of order, and the rows written, open and late."""
-    stream, given = _delivered(_timed_alerts(spark, sf_dir))
-    counts, checkpoint = _run(windows.window_counts(stream, "at", WINDOW, WINDOW_DELAY, by=["final_prediction"]), spark)
+    stream, given, parts = _delivered(_timed_alerts(spark, sf_dir))
+    counts, checkpoint = _run(windows.window_counts(stream, "at", WINDOW, WINDOW_DELAY, by=["final_prediction"]), parts)
     balance = windows.alert_balance(counts, windows.open_counts(spark, checkpoint), given)
     found = counts.select(
         F.lit("window").alias("kind"), "final_prediction", F.unix_seconds(windows.START).alias("window_start"), windows.COUNT
@@ -138,8 +153,8 @@ def stream_alert_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_alert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of alerts of one user, from deliveries out of order; those that the watermark has closed."""
-    stream, _ = _delivered(_timed_alerts(spark, sf_dir))
-    counts, _ = _run(windows.session_counts(stream, "at", GAP, GAP_DELAY, by=["user_id"]), spark)
+    stream, _, parts = _delivered(_timed_alerts(spark, sf_dir))
+    counts, _ = _run(windows.session_counts(stream, "at", GAP, GAP_DELAY, by=["user_id"]), parts)
     start, end = (F.unix_micros(c).alias(c) for c in (windows.START, windows.END))
     return counts.select("user_id", start, end, windows.COUNT)
 
@@ -150,8 +165,8 @@ def stream_alert_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stream_alerts_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The alerts of deliveries that all come twice: each of them once."""
-    stream, _ = _delivered(_timed_alerts(spark, sf_dir), times=2)
-    found, _ = _run(windows.once(stream, ["flow_id"], "at", REPEAT_DELAY), spark)
+    stream, _, parts = _delivered(_timed_alerts(spark, sf_dir), times=2)
+    found, _ = _run(windows.once(stream, ["flow_id"], "at", REPEAT_DELAY), parts)
     return found.select("flow_id", "final_prediction", "user_id")
 
 

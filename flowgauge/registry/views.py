@@ -7,6 +7,8 @@ the model has an exact SQL counterpart.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -39,8 +41,8 @@ TRAIN = TrainParams(
     grid_num_trees=(5, 10), grid_max_depth=(3, 5), num_trees=10, max_depth=5, layout=8, parallelism=4
 )
 FEATURES = ("value", "k", "hour", "user")
-# Tasks of the costly stand-in rules; one given file is a single split.
-DEALT = 16
+# Tasks of the costly stand-in rules; one given file is a single split. Larger flow tables have one for so many rows.
+DEALT, DEALT_ROWS = 16, 500_000
 
 
 def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,23 +101,24 @@ def members() -> list[str]:
     return [f"pred_{i}" for i in range(MEMBERS)]
 
 
-def scored(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame:
-    """Flows with ten member predictions, wrong ones being one of the next two classes."""
+def scored(spark: SparkSession, sf_dir: str, class_rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Flows with ten member predictions, wrong ones being one of the next two classes, and the kept columns."""
     names = class_rows.select(
         "label", "label_index", F.count(F.lit(1)).over(W.partitionBy()).cast("double").alias("n_classes")
     )
-    indexed = flows(spark, sf_dir).select("flow_id", "label").repartition(DEALT, KEY).join(names, "label")
+    tasks = max(DEALT, (class_rows.agg(F.sum("count")).first()[0] or 0) // DEALT_ROWS)
+    indexed = flows(spark, sf_dir).select("flow_id", "label", *keep).repartition(tasks, KEY).join(names, "label")
     index = F.col("label_index")
     preds = []
     for i, name in enumerate(members()):
         draw = hash_number(F.md5(F.concat_ws("|", F.lit(str(i)), F.col("flow_id").cast("string")))) % 100
         wrong = (index + 1 + draw % 2) % F.col("n_classes")
         preds.append(F.when(draw < WRONG_BASE + WRONG_STEP * index, wrong).otherwise(index).alias(name))
-    return indexed.select("flow_id", "label", "label_index", *preds)
+    return indexed.select("flow_id", "label", "label_index", *keep, *preds)
 
 
-def voted(spark: SparkSession, sf_dir: str, class_rows: DataFrame) -> DataFrame:
-    return with_vote(scored(spark, sf_dir, class_rows), members())
+def voted(spark: SparkSession, sf_dir: str, class_rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return with_vote(scored(spark, sf_dir, class_rows, keep), members())
 
 
 class Report:

@@ -142,3 +142,31 @@ def test_event_time_does_not_follow_the_session_zone(spark):
 def test_timed_alerts_draw_each_member_in_one_place(spark, sf_dir, capsys):
     streaming._timed_alerts(spark, sf_dir).explain()
     assert capsys.readouterr().out.count("md5(") == 2 * v.MEMBERS  # the rule reads a draw twice
+
+
+def test_timed_alerts_read_the_flows_once(spark, sf_dir, capsys):
+    streaming._timed_alerts(spark, sf_dir).explain()
+    assert capsys.readouterr().out.count("FileScan parquet") == 2  # flows and classes
+
+
+def test_scoring_has_more_tasks_for_more_flows(spark, sf_dir, monkeypatch, capsys):
+    class_rows = v.classes(spark, sf_dir)
+    flows = v.flows(spark, sf_dir).count()
+    for rows, tasks in ((flows, v.DEALT), (flows // 50, 50)):
+        monkeypatch.setattr(v, "DEALT_ROWS", rows)
+        v.scored(spark, sf_dir, class_rows).explain()
+        assert f", {tasks}), REPARTITION_BY_NUM" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("part_rows, files", [(10, 3), (3, 9), (1000, 1)])
+def test_a_delivery_of_many_files_is_one_micro_batch(spark, places, part_rows, files):
+    """Deliveries of 25, 1 and 12 rows, each twice; the second has fewer rows than files."""
+    sizes = {4: 25, 7: 1, 9: 12}
+    frame = [(100 * d + i, "a", minute(d), d) for d, n in sizes.items() for i in range(n)]
+    rows = spark.createDataFrame(frame, f"{SCHEMA}, delivery int")
+    stream, given, parts = streaming._delivered(rows, times=2, part_rows=part_rows)
+    assert parts == max(streaming.STATE_PARTS, files)
+    assert all("/delivery=" in path for path in given.inputFiles())
+    job = run(ops.window_counts(stream, "at", "1 minute", "20 minutes"), *places[1:])
+    took = [p["numInputRows"] for p in job.recentProgress if p["numInputRows"]]
+    assert took == [n for n in sizes.values() for _ in range(2)]
